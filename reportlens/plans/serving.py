@@ -79,7 +79,7 @@ CHARTS = {
 
 
 def chart_query(
-    source: SparkSession | DataFrame, spec: ChartSpec, filters: Sequence[Column] = ()
+    source: SparkSession | DataFrame, spec: ChartSpec, filters: Sequence[Column | str] = ()
 ) -> DataFrame:
     """Answer a chart from a registered dataset, or from a given DataFrame.
 
