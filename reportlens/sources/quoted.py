@@ -1,12 +1,30 @@
-"""CSV files whose quoted fields contain line breaks."""
+"""CSV files whose quoted fields contain line breaks, read in splits.
+
+Spark reads such a file in one task, because a split that starts in the middle of a quoted
+field cannot know it. Here every split first reports how it would end if it started outside
+a quoted field, and if it started inside one. Chaining these answers over the splits of a
+file, a window over one row per split, tells each split how it really starts. Records that
+lie within a split are then parsed where they are; only the few that cross a border, at
+most one per split, are put together by a shuffle.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+FIELD = r'(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|)'
+FRESH_LINE = re.compile(rf"{FIELD}(?:,{FIELD})*+")
+CONTINUED_LINE = re.compile(rf'(?:[^"]++|"")*+"[^,]*+(?:,{FIELD})*+')
+
+SPLIT = ["file", "split_start"]
+
 
 def has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
     """Whether any line has an odd number of quotes, so that a quoted field may go on below."""
@@ -15,7 +33,164 @@ def has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
     return not spark.read.text(list(paths)).where(quotes % 2 == 1).isEmpty()
 
 
+def ends_inside(line: str, inside: bool) -> bool:
+    """Whether a quoted field is still open at the end of ``line``."""
+    if '"' not in line:
+        return inside
+    return (CONTINUED_LINE if inside else FRESH_LINE).fullmatch(line) is None
+
+
+def split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
+    """Cut batches where a new split begins; one split may span several batches."""
+    for batch in batches:
+        keys = np.stack([batch[name].to_numpy() for name in SPLIT], axis=1)
+        changes = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        bounds = [0, *changes.tolist(), len(keys)]
+        for start, end in zip(bounds, bounds[1:]):
+            if start < end:
+                yield tuple(keys[start].tolist()), batch.slice(start, end - start)
+
+
+def split_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per split: is a field open at its end, had it started outside, and had it started inside."""
+    ends: dict[tuple[int, int], list[bool]] = {}
+    for key, run in split_runs(batches):
+        state = ends.setdefault(key, [False, True])
+        lines = run["value"]
+        for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
+            state[:] = [ends_inside(line, inside) for inside in state]
+    rows = [(*key, *map(int, state)) for key, state in ends.items()]
+    if rows:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(column, pa.int64()) for column in zip(*rows)],
+            names=[*SPLIT, "from_outside", "from_inside"],
+        )
+
+
+def whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records that begin and end in the same split, without each file's header."""
+    current, inside, skipping, pending = None, False, False, []
+    for key, run in split_runs(batches):
+        if key != current:
+            current, pending = key, []
+            inside = skipping = bool(run["inside"][0].as_py())
+            header = key[1] == 0
+        lines = run["value"]
+        if not (inside or header or pc.any(pc.match_substring(lines, '"')).as_py()):
+            yield pa.RecordBatch.from_arrays([lines], names=["record"])
+            continue
+        records = []
+        for line in lines.to_pylist():
+            inside = ends_inside(line, inside)
+            if not skipping:
+                pending.append(line)
+            if not inside:
+                if header and not skipping:
+                    header = False
+                elif not skipping:
+                    records.append(pending[0] if len(pending) == 1 else "\n".join(pending))
+                pending, skipping = [], False
+        yield pa.RecordBatch.from_arrays([pa.array(records, pa.string())], names=["record"])
+
+
+def border_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines before the first and after the last whole record of a split (``place`` 0 and 1)."""
+    current, inside, place, pieces = None, False, 1, []
+
+    def output() -> Iterator[pa.RecordBatch]:
+        found = [(*current, position, "\n".join(text)) for position, text in pieces if text]
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*found), [pa.int64()] * 3 + [pa.string()])],
+                names=[*SPLIT, "place", "text"],
+            )
+
+    for key, run in split_runs(batches):
+        if key != current:
+            if current is not None:
+                yield from output()
+            current, inside = key, bool(run["inside"][0].as_py())
+            place, pieces, tail = (0 if inside else 1), [], []
+            pieces.append((place, tail))
+        for line in run["value"].to_pylist():
+            inside = ends_inside(line, inside)
+            tail.append(line)
+            if not inside:
+                if place == 1:
+                    tail.clear()
+                else:
+                    place, tail = 1, []
+                    pieces.append((place, tail))
+    if current is not None:
+        yield from output()
+
+
+def split_states(lines: DataFrame) -> DataFrame:
+    """Splits that start or end inside a quoted field; all others can be read as they are."""
+    ends = lines.mapInArrow(
+        split_ends, "file bigint, split_start bigint, from_outside bigint, from_inside bigint"
+    )
+    outside, inside = F.col("from_outside"), F.col("from_inside")
+    fixed, flips = outside == inside, (outside > inside).cast("bigint")
+    order = Window.partitionBy("file").orderBy("split_start")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    counted = ends.withColumn("flips", F.sum(flips).over(so_far)).withColumn(
+        "anchor", F.when(fixed, outside + F.col("flips"))
+    )
+    start = F.coalesce(F.last("anchor", ignorenulls=True).over(before), F.lit(0)) + F.coalesce(
+        F.lag("flips").over(order), F.lit(0)
+    )
+    return (
+        counted.withColumn("inside", start % 2)
+        .withColumn("left_inside", F.when(F.col("inside") == 1, inside).otherwise(outside))
+        .where((F.col("inside") == 1) | (F.col("left_inside") == 1))
+        .select(*SPLIT, "inside")
+    )
+
+
 def read_quoted(
     spark: SparkSession, paths: Sequence[str], options: Mapping[str, str], mode: str
 ) -> DataFrame:
-    return spark.read.options(**options).option("mode", mode).option("enforceSchema", "false").option("multiLine","true").csv(list(paths))
+    """All columns of the files as text, named by the header of the first file."""
+    paths = list(paths)
+    header = spark.read.options(**options).option("multiLine", "true").csv(paths).columns
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(paths)
+        .select(
+            F.xxhash64("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split_start"),
+            F.make_valid_utf8("value").alias("value"),
+        )
+    )
+    # One small row per split that a record crosses: bounded by input size / split size.
+    states = F.broadcast(split_states(lines))
+    started = F.coalesce("inside", F.lit(0)).alias("inside")
+    whole = (
+        lines.join(states, SPLIT, "left")
+        .select(*SPLIT, "value", started)
+        .mapInArrow(whole_records, "record string")
+    )
+    pieces = (
+        lines.join(states, SPLIT)
+        .select(*SPLIT, "value", "inside")
+        .mapInArrow(border_pieces, "file bigint, split_start bigint, place bigint, text string")
+    )
+    order = Window.partitionBy("file").orderBy("split_start", "place")
+    crossing = (
+        pieces.withColumn("number", F.sum("place").over(order))
+        .groupBy("file", "number")
+        .agg(F.sort_array(F.collect_list(F.struct("split_start", "place", "text"))).alias("parts"))
+        .select(F.array_join("parts.text", "\n").alias("record"))
+    )
+    record = F.rtrim("record", F.lit("\r"))
+    schema = ", ".join(f"`{name}` string" for name in header)
+    parser = {**options, "mode": mode, "header": "false", "multiLine": "true"}
+    return (
+        whole.unionByName(crossing)
+        .select(record.alias("record"))
+        .where(F.trim("record") != "")
+        .select(F.from_csv("record", schema, parser).alias("fields"))
+        .select("fields.*")
+    )
