@@ -42,11 +42,11 @@ def tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
     return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their part's texts."""
+def order_parts(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Order lines with their part's texts, and further columns of the part if named."""
     table = tables(spark, sf_dir)
     lines = table("lineitem").select(F.col("l_orderkey").alias("report_id"), "l_partkey")
-    parts = table("part").select("p_partkey", "p_name", "p_type", "p_brand")
+    parts = table("part").select("p_partkey", "p_name", "p_type", "p_brand", *extra)
     return lines.join(parts, lines.l_partkey == parts.p_partkey)
 
 

@@ -105,6 +105,12 @@ BRANDED_PARTS = (
     " AS manufacturer FROM branded)"
 )
 
+TALLY = f"""
+{CURATED}
+SELECT manufacturer, symptom, age_group, count(*)::bigint AS n_rows, {OUTCOMES},
+       round(coalesce(sum(age_clean), 0), 6) AS age_sum, count(age_clean)::bigint AS age_rows
+FROM curated GROUP BY manufacturer, symptom, age_group"""
+
 RATES = """
 round(deaths * {scale}::double / total_cases, 6) AS death_rate,
 round(hospitalizations * {scale}::double / total_cases, 6) AS hospital_rate,
@@ -186,11 +192,7 @@ ORACLE: dict[str, str] = {
         SELECT report_id, died_flag, hospital_flag, age_clean, symptom, manufacturer,
                count(*)::bigint AS n_rows
         FROM curated GROUP BY ALL""",
-    "tally": f"""
-        {CURATED}
-        SELECT manufacturer, symptom, age_group, count(*)::bigint AS n_rows, {OUTCOMES},
-               round(coalesce(sum(age_clean), 0), 6) AS age_sum, count(age_clean)::bigint AS age_rows
-        FROM curated GROUP BY manufacturer, symptom, age_group""",
+    "tally": TALLY,
     "symptoms": f"{SYMPTOMS} SELECT *, '{RUN_TS}' AS __time FROM symptoms",
     "severity": f"""
         {SEVERITY}
@@ -297,6 +299,7 @@ ORACLE: dict[str, str] = {
     "time_filtered_sums": """
         SELECT event_type, count(*)::bigint AS event_count, round(sum(value), 6) AS total_value
         FROM events WHERE ts >= timestamp '2024-01-10 12:00:00' GROUP BY event_type""",
+    "stream_ingest": TALLY,
     "profile": f"""
         WITH {REPORTS}
         SELECT count(*)::bigint AS row_count,

@@ -19,6 +19,7 @@ from ..rules import DECADE_BREAKS, DECADE_LABELS, STATE_WEIGHTS
 from ..session import scratch_path
 from ..sources import datasource as D
 from ..sources import files, tables
+from ..streaming import ingest as stream
 from . import analogue, serving
 from .analogue import ANALOGUE_RULES as RULES
 from .analogue import inputs
@@ -313,9 +314,8 @@ def csv_quoted_text(spark, sf_dir):
     path = scratch_path(spark, "csv-text")
     documents = read(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars")
     files.write_csv(documents, path)
-    text = files.read_csv(
-        spark, path, {"doc_id": "bigint", "lang": "string", "text": "string", "n_chars": "bigint"}
-    )
+    schema = {"doc_id": "bigint", "lang": "string", "text": "string", "n_chars": "bigint"}
+    text = files.read_csv(spark, path, schema, breaks="quoted")
     return text.select("doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
 
 
@@ -381,6 +381,24 @@ def datasource_replace(spark, sf_dir):
     )
 
 
+def stream_ingest(spark, sf_dir):
+    """All three tables as arriving CSV files; the symptoms of large parts arrive late."""
+    store = scratch_path(spark, "stream")
+    lines = analogue.order_parts(spark, sf_dir, "p_size")
+    early = {
+        "reports": analogue.reports(spark, sf_dir),
+        "symptoms": lines.where("p_size <= 25").select("report_id", "p_name"),
+        "vaccines": lines.select("report_id", "p_type", "p_brand"),
+    }
+    late = {"symptoms": lines.where("p_size > 25").select("report_id", "p_name")}
+    for number, arrivals in enumerate((early, late)):
+        for kind, rows in arrivals.items():
+            files.write_csv(rows, f"{store}/arrivals/{kind}/{number}")
+            stream.land_new_files(spark, f"{store}/arrivals/{kind}", store, kind, RULES)
+        current = stream.refresh(spark, store, RULES)
+    return rounded(current)
+
+
 def time_filtered_sums(spark, sf_dir):
     stored = D.read_datasource(spark, EVENTS_SPEC, load_events(spark, sf_dir))
     tables.register(D.since(stored, "2024-01-10T12:00:00"), "events_by_type")
@@ -464,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "datasource_rollup": datasource_rollup,
     "datasource_replace": datasource_replace,
     "time_filtered_sums": time_filtered_sums,
+    "stream_ingest": stream_ingest,
     "profile": profile,
     "quality_report": quality_report,
 }

@@ -12,6 +12,7 @@ from .quoted import has_quoted_breaks, read_quoted
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 REJECTED = "rejected_columns"
+WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def as_list(paths: str | Sequence[str]) -> list[str]:
@@ -41,12 +42,16 @@ def read_csv_text(
 
     A quoted field may contain line breaks. Spark can only split a file into tasks when no
     field does, so ``breaks="auto"`` looks: files without one are read in splits as they
-    are, files with one go through ``read_quoted``, which splits them too. ``"none"`` and
-    ``"quoted"`` skip the look, ``"whole"`` uses Spark's reader with one task per file.
+    are (``"none"``), small files with one by Spark's reader in one task per file
+    (``"whole"``), and large ones by ``read_quoted``, which splits them too (``"quoted"``).
+    Naming one of the three skips the look.
     """
     paths = as_list(paths)
     if breaks == "auto":
-        breaks = "quoted" if has_quoted_breaks(spark, paths) else "none"
+        breaks = "none"
+        if has_quoted_breaks(spark, paths):
+            largest = file_sizes(spark, paths).agg(F.max("length")).first()[0]
+            breaks = "whole" if largest <= WHOLE_FILE_BYTES else "quoted"
     reader = spark.read.options(**CSV_OPTIONS).option("mode", mode).option("enforceSchema", "false")
     if breaks == "quoted":
         return read_quoted(spark, paths, CSV_OPTIONS, mode)
