@@ -14,19 +14,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import clean_text, first_non_null, flag_equals, map_category
-from ..functions.predicates import allow_list, deny_exact, deny_regex, in_population, valid_text
+from ..functions.predicates import (
+    allow_list,
+    deny_exact,
+    deny_regex,
+    in_population,
+    select_where,
+    valid_text,
+)
 from ..rules import DEFAULT_RULES, Rules
 
 
-def is_target(rules: Rules = DEFAULT_RULES) -> Column:
-    return in_population(
-        rules.type_col, rules.maker_col, rules.target_type_pattern, rules.target_makers
-    )
-
-
 def target_ids(vaccines: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Distinct ids with at least one vaccine row of the population."""
-    return vaccines.where(is_target(rules)).select(rules.id_col).distinct()
+    target = in_population(
+        clean_text(rules.type_col),
+        clean_text(rules.maker_col),
+        rules.target_type_pattern,
+        rules.target_makers,
+    )
+    return vaccines.where(target).select(rules.id_col).distinct()
 
 
 def keep_members(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
@@ -63,22 +70,35 @@ def select_reports(
 
 def select_symptoms(symptoms: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Id and cleaned symptom of the rows with a usable medical term."""
-    return (
-        symptoms.select(rules.id_col, clean_text(rules.symptom_col).alias("symptom"))
-        .where(valid_text("symptom", rules.symptom_min_length))
-        .where(deny_regex("symptom", rules.symptom_deny_pattern))
-        .where(deny_exact("symptom", rules.symptom_deny_terms))
+    return select_where(
+        symptoms,
+        [rules.id_col, clean_text(rules.symptom_col).alias("symptom")],
+        valid_text("symptom", rules.symptom_min_length)
+        & deny_regex("symptom", rules.symptom_deny_pattern)
+        & deny_exact("symptom", rules.symptom_deny_terms),
+    )
+
+
+def dose_texts(vaccines: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Id, cleaned type and cleaned manufacturer of every dose row."""
+    return vaccines.select(
+        rules.id_col,
+        clean_text(rules.type_col).alias("type_text"),
+        clean_text(rules.maker_col).alias("maker_text"),
     )
 
 
 def manufacturer_of(rules: Rules = DEFAULT_RULES) -> Column:
-    return map_category(clean_text(rules.maker_col), rules.maker_rules, rules.maker_default)
+    """Standard manufacturer of a cleaned text."""
+    return map_category("maker_text", rules.maker_rules, rules.maker_default)
 
 
 def select_manufacturers(vaccines: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Id and standard manufacturer of every dose row of a known manufacturer."""
-    return vaccines.select(rules.id_col, manufacturer_of(rules).alias("manufacturer")).where(
-        allow_list("manufacturer", rules.makers)
+    return select_where(
+        dose_texts(vaccines, rules),
+        [rules.id_col, manufacturer_of(rules).alias("manufacturer")],
+        allow_list("manufacturer", rules.makers),
     )
 
 
@@ -115,16 +135,19 @@ def dose_counts(vaccines: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     aggregate folds all rows of one id inside each map task, so an id with a third of the
     table arrives at its reducer as one row per task.
     """
-    target = F.coalesce(is_target(rules), F.lit(False))
+    target = in_population(
+        "type_text", "maker_text", rules.target_type_pattern, rules.target_makers
+    )
     doses = [maker_column(i) for i in range(len(rules.makers))]
-    rows = (
-        vaccines.where(F.col(rules.id_col).isNotNull())
-        .select(
+    rows = select_where(
+        dose_texts(vaccines, rules),
+        [
             rules.id_col,
-            target.alias("target"),
+            F.coalesce(target, F.lit(False)).alias("target"),
             manufacturer_of(rules).alias("manufacturer"),
-        )
-        .where(F.col("target") | allow_list("manufacturer", rules.makers))
+        ],
+        F.col(rules.id_col).isNotNull()
+        & (F.col("target") | allow_list("manufacturer", rules.makers)),
     )
     return (
         rows.groupBy(rules.id_col)

@@ -78,7 +78,8 @@ def first_non_null(spark, sf_dir):
 
 
 def map_category(spark, sf_dir):
-    return part(spark, sf_dir).select("p_partkey", K.manufacturer_of(RULES).alias("manufacturer"))
+    texts = part(spark, sf_dir).select("p_partkey", C.clean_text("p_brand").alias("maker_text"))
+    return texts.select("p_partkey", K.manufacturer_of(RULES).alias("manufacturer"))
 
 
 def map_category_keep(spark, sf_dir):

@@ -44,7 +44,8 @@ def read_csv_text(
     field does, so ``breaks="auto"`` looks: files without one are read in splits as they
     are (``"none"``), small files with one by Spark's reader in one task per file
     (``"whole"``), and large ones by ``read_quoted``, which splits them too (``"quoted"``).
-    Naming one of the three skips the look.
+    Naming one of the three skips the look. The only difference in results: Spark's reader
+    turns CR LF inside a field into LF, ``read_quoted`` keeps it.
     """
     paths = as_list(paths)
     if breaks == "auto":

@@ -11,19 +11,25 @@ most one per split, are put together by a shuffle.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The functions below travel to the executors with the plan: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FIELD = r'(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|)'
 FRESH_LINE = re.compile(rf"{FIELD}(?:,{FIELD})*+")
 CONTINUED_LINE = re.compile(rf'(?:[^"]++|"")*+"[^,]*+(?:,{FIELD})*+')
 
 SPLIT = ["file", "split_start"]
+NOT_HERE = 2**60
 
 
 def has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
@@ -51,86 +57,105 @@ def split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, i
                 yield tuple(keys[start].tolist()), batch.slice(start, end - start)
 
 
+def states_after(lines: pa.Array, inside: bool) -> np.ndarray:
+    """Whether a quoted field is open after each line; only lines with a quote are looked at."""
+    quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+    states = [inside]
+    for line in lines.take(pa.array(quoted)).to_pylist():
+        states.append(ends_inside(line, states[-1]))
+    return np.repeat(states, np.diff([0, *quoted, len(lines)]))
+
+
 def split_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per split: is a field open at its end, had it started outside, and had it started inside."""
-    ends: dict[tuple[int, int], list[bool]] = {}
+    """What a split looks like from either start, outside or inside a quoted field.
+
+    ``end_*``: is a field open at the end. ``tail_*``: lines up to the end of the last
+    record that ends in the split. ``head``: lines up to the end of the record the split
+    starts in. Started inside, both stay NOT_HERE when that record ends in a later split.
+    """
+    found: dict[tuple[int, int], dict] = {}
     for key, run in split_runs(batches):
-        state = ends.setdefault(key, [False, True])
-        lines = run["value"]
-        for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
-            state[:] = [ends_inside(line, inside) for inside in state]
-    rows = [(*key, *map(int, state)) for key, state in ends.items()]
+        split = found.setdefault(key, {"lines": 0, "end": [False, True], "tail": [0, NOT_HERE], "head": NOT_HERE})
+        lines, same = run["value"], split["end"][0] == split["end"][1]
+        for start in (0, 1):
+            if start == 0 or not same:
+                after = states_after(lines, split["end"][start])
+            closed = np.flatnonzero(~after)
+            if len(closed):
+                split["tail"][start] = split["lines"] + int(closed[-1]) + 1
+                if start == 1 and split["head"] == NOT_HERE:
+                    split["head"] = split["lines"] + int(closed[0]) + 1
+            split["end"][start] = bool(after[-1])
+        split["lines"] += len(lines)
+    rows = [
+        (*key, *map(int, split["end"]), *split["tail"], split["head"]) for key, split in found.items()
+    ]
     if rows:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column, pa.int64()) for column in zip(*rows)],
-            names=[*SPLIT, "from_outside", "from_inside"],
-        )
+        names = [*SPLIT, "end_outside", "end_inside", "tail_outside", "tail_inside", "head"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+
+
+def positioned_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, int, pa.RecordBatch]]:
+    """Runs with their first line's number in the split, and whether a new split begins."""
+    current, position = None, 0
+    for key, run in split_runs(batches):
+        fresh = key != current
+        current, position = key, 0 if fresh else position
+        yield key[1], fresh, position, run
+        position += len(run)
+
+
+def within(run: pa.RecordBatch, line: int) -> int:
+    return min(max(line, 0), len(run))
 
 
 def whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records that begin and end in the same split, without each file's header."""
-    current, inside, skipping, pending = None, False, False, []
-    for key, run in split_runs(batches):
-        if key != current:
-            current, pending = key, []
-            inside = skipping = bool(run["inside"][0].as_py())
-            header = key[1] == 0
-        lines = run["value"]
-        if not (inside or header or pc.any(pc.match_substring(lines, '"')).as_py()):
-            yield pa.RecordBatch.from_arrays([lines], names=["record"])
+    pending, header = pa.array([], pa.string()), False
+    for split_start, fresh, position, run in positioned_runs(batches):
+        if fresh:
+            pending, header = pending.slice(0, 0), split_start == 0
+        head, tail = (within(run, run[name][0].as_py() - position) for name in ("head", "tail"))
+        lines = run["value"].slice(head, max(tail - head, 0))
+        if not len(lines):
             continue
-        records = []
-        for line in lines.to_pylist():
-            inside = ends_inside(line, inside)
-            if not skipping:
-                pending.append(line)
-            if not inside:
-                if header and not skipping:
-                    header = False
-                elif not skipping:
-                    records.append(pending[0] if len(pending) == 1 else "\n".join(pending))
-                pending, skipping = [], False
-        yield pa.RecordBatch.from_arrays([pa.array(records, pa.string())], names=["record"])
+        after = np.concatenate(
+            [np.ones(len(pending), bool), states_after(lines, len(pending) > 0)]
+        )
+        lines = pa.concat_arrays([pending, lines])
+        ends = np.flatnonzero(~after) + 1
+        bounds = pa.array([0, *ends], pa.int32())
+        records = pc.binary_join(pa.ListArray.from_arrays(bounds, lines.slice(0, int(bounds[-1].as_py()))), "\n")
+        pending = lines.slice(int(bounds[-1].as_py()))
+        if header and len(records):
+            records, header = records.slice(1), False
+        yield pa.RecordBatch.from_arrays([records], names=["record"])
 
 
 def border_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines before the first and after the last whole record of a split (``place`` 0 and 1)."""
-    current, inside, place, pieces = None, False, 1, []
-
-    def output() -> Iterator[pa.RecordBatch]:
-        found = [(*current, position, "\n".join(text)) for position, text in pieces if text]
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*found), [pa.int64()] * 3 + [pa.string()])],
-                names=[*SPLIT, "place", "text"],
-            )
-
-    for key, run in split_runs(batches):
-        if key != current:
-            if current is not None:
-                yield from output()
-            current, inside = key, bool(run["inside"][0].as_py())
-            place, pieces, tail = (0 if inside else 1), [], []
-            pieces.append((place, tail))
-        for line in run["value"].to_pylist():
-            inside = ends_inside(line, inside)
-            tail.append(line)
-            if not inside:
-                if place == 1:
-                    tail.clear()
-                else:
-                    place, tail = 1, []
-                    pieces.append((place, tail))
-    if current is not None:
-        yield from output()
+    """Lines of records that cross into or out of a split; ``opens`` marks a record's first."""
+    for _, _, position, run in positioned_runs(batches):
+        head, tail = run["head"][0].as_py(), run["tail"][0].as_py()
+        before = run.slice(0, within(run, head - position))
+        after = run.slice(within(run, tail - position))
+        for part, line in ((before, position), (after, max(tail, position))):
+            if len(part):
+                text = "\n".join(part["value"].to_pylist())
+                opens = int(part is after and line == tail)
+                row = [*(part[name][0].as_py() for name in SPLIT), line, opens, text]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v]) for v in row], names=[*SPLIT, "line", "opens", "text"]
+                )
 
 
 def split_states(lines: DataFrame) -> DataFrame:
-    """Splits that start or end inside a quoted field; all others can be read as they are."""
+    """Splits that records cross, with the lines (``head`` to ``tail``) of their whole records."""
     ends = lines.mapInArrow(
-        split_ends, "file bigint, split_start bigint, from_outside bigint, from_inside bigint"
+        split_ends,
+        "file bigint, split_start bigint, end_outside bigint, end_inside bigint,"
+        " tail_outside bigint, tail_inside bigint, head bigint",
     )
-    outside, inside = F.col("from_outside"), F.col("from_inside")
+    outside, inside = F.col("end_outside"), F.col("end_inside")
     fixed, flips = outside == inside, (outside > inside).cast("bigint")
     order = Window.partitionBy("file").orderBy("split_start")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -141,11 +166,15 @@ def split_states(lines: DataFrame) -> DataFrame:
     start = F.coalesce(F.last("anchor", ignorenulls=True).over(before), F.lit(0)) + F.coalesce(
         F.lag("flips").over(order), F.lit(0)
     )
+    starts_inside = F.col("start") == 1
     return (
-        counted.withColumn("inside", start % 2)
-        .withColumn("left_inside", F.when(F.col("inside") == 1, inside).otherwise(outside))
-        .where((F.col("inside") == 1) | (F.col("left_inside") == 1))
-        .select(*SPLIT, "inside")
+        counted.withColumn("start", start % 2)
+        .where(starts_inside | (outside == 1))
+        .select(
+            *SPLIT,
+            F.when(starts_inside, F.col("head")).otherwise(F.lit(0)).alias("head"),
+            F.when(starts_inside, F.col("tail_inside")).otherwise(F.col("tail_outside")).alias("tail"),
+        )
     )
 
 
@@ -166,22 +195,28 @@ def read_quoted(
     )
     # One small row per split that a record crosses: bounded by input size / split size.
     states = F.broadcast(split_states(lines))
-    started = F.coalesce("inside", F.lit(0)).alias("inside")
     whole = (
         lines.join(states, SPLIT, "left")
-        .select(*SPLIT, "value", started)
+        .select(
+            *SPLIT,
+            F.coalesce("head", F.lit(0)).alias("head"),
+            F.coalesce("tail", F.lit(NOT_HERE)).alias("tail"),
+            "value",
+        )
         .mapInArrow(whole_records, "record string")
     )
     pieces = (
         lines.join(states, SPLIT)
-        .select(*SPLIT, "value", "inside")
-        .mapInArrow(border_pieces, "file bigint, split_start bigint, place bigint, text string")
+        .select(*SPLIT, "head", "tail", "value")
+        .mapInArrow(
+            border_pieces, "file bigint, split_start bigint, line bigint, opens bigint, text string"
+        )
     )
-    order = Window.partitionBy("file").orderBy("split_start", "place")
+    order = Window.partitionBy("file").orderBy("split_start", "line")
     crossing = (
-        pieces.withColumn("number", F.sum("place").over(order))
+        pieces.withColumn("number", F.sum("opens").over(order))
         .groupBy("file", "number")
-        .agg(F.sort_array(F.collect_list(F.struct("split_start", "place", "text"))).alias("parts"))
+        .agg(F.sort_array(F.collect_list(F.struct("split_start", "line", "text"))).alias("parts"))
         .select(F.array_join("parts.text", "\n").alias("record"))
     )
     record = F.rtrim("record", F.lit("\r"))
