@@ -27,8 +27,17 @@ def as_column(col: Column | str) -> Column:
 
 
 def clean_text(col: Column | str) -> Column:
-    """Upper-case, then strip white space of any kind (plain ``trim`` strips blanks only)."""
-    return F.trim(F.upper(as_column(col)), F.lit(WHITE_SPACE))
+    """Upper-case, then strip white space of any kind (plain ``trim`` strips blanks only).
+
+    Stripping a set of characters is slow. Text that begins and ends with a visible ASCII
+    character, nearly all of it, needs none.
+    """
+    col = as_column(col)
+    first_visible = (col >= "!") & (col < "\x7f")
+    last = F.substring(col, -1, 1)
+    last_visible = (last >= "!") & (last < "\x7f")
+    upper = F.upper(col)
+    return F.when(first_visible & last_visible, upper).otherwise(F.trim(upper, F.lit(WHITE_SPACE)))
 
 
 def contains_pattern(col: Column | str, pattern: str) -> Column:

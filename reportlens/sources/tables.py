@@ -62,7 +62,8 @@ def write_table(
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Drop a table; an absent one is not an error."""
+    """Drop a table or a registered dataset; an absent one is not an error."""
+    spark.catalog.dropTempView(name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 

@@ -25,9 +25,9 @@ def values(spark, kind, items, expression):
 
 
 def test_clean_text_strips_every_white_space(spark):
-    items = ["  a b ", "\tx\n", " nbsp　", "\u0085 y ", "straße", None, "\r\n", "​z"]
+    items = ["~a!", "b ", " c", "d\x7f", "é", "", "  a b ", "\tx\n", " nbsp　", "\u0085 y ", "straße", None, "\r\n", "​z"]
     assert values(spark, "string", items, C.clean_text("v")) == [
-        "A B", "X", "NBSP", "Y", "STRASSE", None, "", "​Z",
+        "~A!", "B", "C", "D\x7f", "É", "", "A B", "X", "NBSP", "Y", "STRASSE", None, "", "​Z",
     ]
 
 

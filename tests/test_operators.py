@@ -182,6 +182,9 @@ def test_catalog_table_is_replaced_and_dropped(spark):
     for _ in range(2):
         tables.drop_table(spark, "vaers_temporary")
     assert not spark.catalog.tableExists("vaers_temporary")
+    tables.register(spark.range(1), "vaers_temporary")
+    tables.drop_table(spark, "vaers_temporary")
+    assert not spark.catalog.tableExists("vaers_temporary")
 
 
 def test_missing_results(spark, tmp_path):
