@@ -61,6 +61,11 @@ def land(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def land_inputs(inputs: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The inputs as Parquet, for further runs that then read only the columns they need."""
+    return {kind: land(df, f"{folder.rstrip('/')}/{kind}") for kind, df in inputs.items()}
+
+
 def analyses(tally: DataFrame, run_ts: str, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
     """The three published analyses of a tally."""
     spread = allocate_by_weights(manufacturer_totals(tally), run_ts, rules=rules)
@@ -85,15 +90,20 @@ def run_analyses(
     rules: Rules = DEFAULT_RULES,
     mode: str = "FAILFAST",
     salt_buckets: int = 1,
+    landing: str | None = None,
 ) -> dict[str, object]:
     """Read the inputs, write the three analyses below ``out`` and return a summary.
 
     The inputs are read once each, by the job that lands the tally in the scratch folder;
-    the analyses work on that small table. Any failure stops the run.
+    the analyses work on that small table. With ``landing`` the inputs are first kept there
+    as Parquet. Any failure stops the run.
     """
     started = time.monotonic()
     run_ts = run_ts or run_timestamp()
     inputs = read_inputs(spark, paths, rules, mode)
+    files = sum(len(df.inputFiles()) for df in inputs.values())
+    if landing:
+        inputs = land_inputs(inputs, landing)
     counts = {kind: Observation(f"{kind}-{run_ts}") for kind in inputs}
     observed = {
         kind: df.observe(counts[kind], F.count(F.lit(1)).alias("rows")) for kind, df in inputs.items()
@@ -105,7 +115,6 @@ def run_analyses(
         ),
         scratch_path(spark, "tally"),
     )
-    files = sum(len(df.inputFiles()) for df in inputs.values())
     if tally.isEmpty():
         # AQE drops the rest of the plan once a side turns out empty, row counts included.
         return {"status": "no_results", "input_files": files}

@@ -127,6 +127,15 @@ def test_run_publish_serve(spark, data_dir, tmp_path):
         assert {r[0] for r in stored.select("day").collect()} == {"2024-05-06"}
 
 
+def test_landed_inputs_give_the_same(spark, data_dir, tmp_path):
+    out, landing = str(tmp_path / "out"), str(tmp_path / "landed")
+    summary = run_analyses(spark, input_paths(data_dir), out, TS, landing=landing)
+    assert (summary["curated_rows"], summary["input_files"]) == (12, 3)
+    landed = [spark.read.parquet(f"{landing}/{kind}") for kind in ("reports", "symptoms", "vaccines")]
+    got = symptoms_by_manufacturer(report_tally(*landed), TS)
+    assert [tuple(r)[:5] for r in got.collect()] == SYMPTOM_ROWS
+
+
 def test_no_results(spark, data_dir, tmp_path):
     folder = tmp_path / "none"
     folder.mkdir()
