@@ -30,13 +30,22 @@ CONTINUED_LINE = re.compile(rf'(?:[^"]++|"")*+"[^,]*+(?:,{FIELD})*+')
 
 SPLIT = ["file", "split_start"]
 NOT_HERE = 2**60
+MAX_RECORD_BYTES = 2**31 - 1  # a longer one does not fit a Spark string
+
+
+def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(list(paths))
 
 
 def has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
-    """Whether any line has an odd number of quotes, so that a quoted field may go on below."""
+    """Whether some line is not a complete record, so that one of its fields goes on below.
+
+    While all lines before are complete, each line starts outside a field; one incomplete
+    line is therefore enough, and none means there are no breaks. The look stops early.
+    """
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return not spark.read.text(list(paths)).where(quotes % 2 == 1).isEmpty()
+    incomplete = line.contains('"') & ~line.rlike(rf"\A{FRESH_LINE.pattern}\z")
+    return not text_lines(spark, paths).where(incomplete).isEmpty()
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -167,8 +176,12 @@ def split_states(lines: DataFrame) -> DataFrame:
         F.lag("flips").over(order), F.lit(0)
     )
     starts_inside = F.col("start") == 1
+    opened = F.when(~starts_inside | (F.col("head") < NOT_HERE), F.col("split_start"))
+    too_long = F.col("split_start") - F.last(opened, ignorenulls=True).over(so_far) > MAX_RECORD_BYTES
+    head = F.when(too_long, F.raise_error("a quoted CSV field does not end")).otherwise(F.col("head"))
     return (
         counted.withColumn("start", start % 2)
+        .withColumn("head", head)
         .where(starts_inside | (outside == 1))
         .select(
             *SPLIT,
@@ -184,14 +197,10 @@ def read_quoted(
     """All columns of the files as text, named by the header of the first file."""
     paths = list(paths)
     header = spark.read.options(**options).option("multiLine", "true").csv(paths).columns
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(paths)
-        .select(
-            F.xxhash64("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.make_valid_utf8("value").alias("value"),
-        )
+    lines = text_lines(spark, paths).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.make_valid_utf8("value").alias("value"),
     )
     # One small row per split that a record crosses: bounded by input size / split size.
     states = F.broadcast(split_states(lines))
