@@ -116,6 +116,14 @@ round(deaths * {scale}::double / total_cases, 6) AS death_rate,
 round(hospitalizations * {scale}::double / total_cases, 6) AS hospital_rate,
 round((deaths + hospitalizations) * {scale}::double / total_cases, 6) AS severe_rate"""
 
+SEVERITY_ROWS = f"""
+{SEVERITY}
+SELECT age_group, manufacturer, total_cases, deaths, hospitalizations,
+       round(avg_age, 6) AS avg_age, {RATES.format(scale=100)},
+       deaths + hospitalizations AS severe_cases, 0 AS er_visits,
+       manufacturer AS VAX_MANU_CLEAN, '{RUN_TS}' AS __time
+FROM severity"""
+
 EVENT_ROWS = """
 SELECT ts AS __time, strftime(ts, '%Y-%m-%d') AS day, event_type, 1::bigint AS event_count,
        value AS total_value
@@ -194,13 +202,7 @@ ORACLE: dict[str, str] = {
         FROM curated GROUP BY ALL""",
     "tally": TALLY,
     "symptoms": f"{SYMPTOMS} SELECT *, '{RUN_TS}' AS __time FROM symptoms",
-    "severity": f"""
-        {SEVERITY}
-        SELECT age_group, manufacturer, total_cases, deaths, hospitalizations,
-               round(avg_age, 6) AS avg_age, {RATES.format(scale=100)},
-               deaths + hospitalizations AS severe_cases, 0 AS er_visits,
-               manufacturer AS VAX_MANU_CLEAN, '{RUN_TS}' AS __time
-        FROM severity""",
+    "severity": SEVERITY_ROWS,
     "severity_fraction": f"{SEVERITY} SELECT age_group, manufacturer, {RATES.format(scale=1)} FROM severity",
     "totals": f"{TOTALS} SELECT * REPLACE (round(avg_age, 6) AS avg_age) FROM totals",
     "null_safe_sum": f"""
@@ -299,6 +301,7 @@ ORACLE: dict[str, str] = {
     "time_filtered_sums": """
         SELECT event_type, count(*)::bigint AS event_count, round(sum(value), 6) AS total_value
         FROM events WHERE ts >= timestamp '2024-01-10 12:00:00' GROUP BY event_type""",
+    "extracts_to_severity": SEVERITY_ROWS,
     "stream_ingest": TALLY,
     "profile": f"""
         WITH {REPORTS}

@@ -15,12 +15,12 @@ from ..operators import analyses as A
 from ..operators import curate as K
 from ..operators import quality as Q
 from ..operators import trends as T
-from ..rules import DECADE_BREAKS, DECADE_LABELS, STATE_WEIGHTS
+from ..rules import CSV_SUFFIX, DECADE_BREAKS, DECADE_LABELS, OUTPUT_STEMS, STATE_WEIGHTS
 from ..session import scratch_path
 from ..sources import datasource as D
 from ..sources import files, tables
 from ..streaming import ingest as stream
-from . import analogue, serving
+from . import analogue, run, serving
 from .analogue import ANALOGUE_RULES as RULES
 from .analogue import inputs
 
@@ -382,6 +382,25 @@ def datasource_replace(spark, sf_dir):
     )
 
 
+def extracts_to_severity(spark, sf_dir):
+    """The full run from CSV extracts; reports carry a text with quotes and line breaks."""
+    folder = scratch_path(spark, "extracts")
+    reports, symptom_rows, vaccines = inputs(spark, sf_dir)
+    narrative = F.concat(F.lit('said "fine",\nlives in '), "state", F.lit("\n"))
+    extracts = {
+        "reports": reports.withColumn("narrative", narrative),
+        "symptoms": symptom_rows,
+        "vaccines": vaccines,
+    }
+    paths = {kind: f"{folder}/{kind}" for kind in extracts}
+    for kind, rows in extracts.items():
+        files.write_csv(rows, paths[kind])
+    run.run_analyses(spark, paths, f"{folder}/results", RUN_TS, RULES)
+    result = f"{folder}/results/{OUTPUT_STEMS['severity'][0]}{CSV_SUFFIX}"
+    stored = files.read_result_csv(spark, result, tables.RESULT_SCHEMAS["severity"])
+    return rounded(stored.withColumn("er_visits", F.col("er_visits").cast("int")))
+
+
 def stream_ingest(spark, sf_dir):
     """All three tables as arriving CSV files; the symptoms of large parts arrive late."""
     store = scratch_path(spark, "stream")
@@ -483,6 +502,7 @@ QUERIES: dict[str, Query] = {
     "datasource_rollup": datasource_rollup,
     "datasource_replace": datasource_replace,
     "time_filtered_sums": time_filtered_sums,
+    "extracts_to_severity": extracts_to_severity,
     "stream_ingest": stream_ingest,
     "profile": profile,
     "quality_report": quality_report,

@@ -10,9 +10,11 @@ most one per split, are put together by a shuffle.
 
 from __future__ import annotations
 
+import csv
 import re
 import sys
 from collections.abc import Iterator, Mapping, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +120,15 @@ def within(run: pa.RecordBatch, line: int) -> int:
     return min(max(line, 0), len(run))
 
 
-def whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def check_header(record: str, names: Sequence[str]) -> None:
+    found = next(csv.reader([record.removeprefix("\ufeff").rstrip("\r")]))
+    if found != list(names):
+        raise ValueError(f"CSV header {found} differs from {list(names)}")
+
+
+def whole_records(
+    batches: Iterator[pa.RecordBatch], names: Sequence[str]
+) -> Iterator[pa.RecordBatch]:
     """Records that begin and end in the same split, without each file's header."""
     pending, header = pa.array([], pa.string()), False
     for split_start, fresh, position, run in positioned_runs(batches):
@@ -137,6 +147,7 @@ def whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         records = pc.binary_join(pa.ListArray.from_arrays(bounds, lines.slice(0, int(bounds[-1].as_py()))), "\n")
         pending = lines.slice(int(bounds[-1].as_py()))
         if header and len(records):
+            check_header(records[0].as_py(), names)
             records, header = records.slice(1), False
         yield pa.RecordBatch.from_arrays([records], names=["record"])
 
@@ -212,7 +223,7 @@ def read_quoted(
             F.coalesce("tail", F.lit(NOT_HERE)).alias("tail"),
             "value",
         )
-        .mapInArrow(whole_records, "record string")
+        .mapInArrow(partial(whole_records, names=header), "record string")
     )
     pieces = (
         lines.join(states, SPLIT)
@@ -226,6 +237,7 @@ def read_quoted(
         pieces.withColumn("number", F.sum("opens").over(order))
         .groupBy("file", "number")
         .agg(F.sort_array(F.collect_list(F.struct("split_start", "line", "text"))).alias("parts"))
+        .where("parts[0].split_start > 0 OR parts[0].line > 0")  # a header that crosses a border
         .select(F.array_join("parts.text", "\n").alias("record"))
     )
     record = F.rtrim("record", F.lit("\r"))
