@@ -80,46 +80,35 @@ def states_after(lines: pa.Array, inside: bool) -> np.ndarray:
 def split_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a split looks like from either start, outside or inside a quoted field.
 
-    ``end_*``: is a field open at the end. ``tail_*``: lines up to the end of the last
-    record that ends in the split. ``head``: lines up to the end of the record the split
-    starts in. Started inside, both stay NOT_HERE when that record ends in a later split.
+    ``end_*``: is a field open at the end. ``tail_*``: the line after the last record that
+    ends in the split. ``head``: the line after the record the split starts in. Started
+    inside, both stay NOT_HERE when that record ends in a later split.
     """
     found: dict[tuple[int, int], dict] = {}
     for key, run in split_runs(batches):
-        split = found.setdefault(key, {"lines": 0, "end": [False, True], "tail": [0, NOT_HERE], "head": NOT_HERE})
-        lines, same = run["value"], split["end"][0] == split["end"][1]
+        line = run["line"][0].as_py()
+        split = found.setdefault(
+            key, {"first": line, "end": [False, True], "tail": [line, NOT_HERE], "head": NOT_HERE}
+        )
+        same = split["end"][0] == split["end"][1]
         for start in (0, 1):
             if start == 0 or not same:
-                after = states_after(lines, split["end"][start])
+                after = states_after(run["value"], split["end"][start])
             closed = np.flatnonzero(~after)
             if len(closed):
-                split["tail"][start] = split["lines"] + int(closed[-1]) + 1
+                split["tail"][start] = line + int(closed[-1]) + 1
                 if start == 1 and split["head"] == NOT_HERE:
-                    split["head"] = split["lines"] + int(closed[0]) + 1
+                    split["head"] = line + int(closed[0]) + 1
             split["end"][start] = bool(after[-1])
-        split["lines"] += len(lines)
     rows = [
-        (*key, *map(int, split["end"]), *split["tail"], split["head"]) for key, split in found.items()
+        (*key, split["first"], *map(int, split["end"]), *split["tail"], split["head"])
+        for key, split in found.items()
     ]
     if rows:
-        names = [*SPLIT, "end_outside", "end_inside", "tail_outside", "tail_inside", "head"]
+        names = [*SPLIT, "first", "end_outside", "end_inside", "tail_outside", "tail_inside", "head"]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
 
-def positioned_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, int, pa.RecordBatch]]:
-    """Runs with their first line's number in the split, and whether a new split begins."""
-    current, position = None, 0
-    for key, run in split_runs(batches):
-        fresh = key != current
-        current, position = key, 0 if fresh else position
-        yield key[1], fresh, position, run
-        position += len(run)
-
-
-def within(run: pa.RecordBatch, line: int) -> int:
-    return min(max(line, 0), len(run))
-
-
 def check_header(record: str, names: Sequence[str]) -> None:
     found = next(csv.reader([record.removeprefix("\ufeff").rstrip("\r")]))
     if found != list(names):
@@ -129,51 +118,29 @@ def check_header(record: str, names: Sequence[str]) -> None:
 def whole_records(
     batches: Iterator[pa.RecordBatch], names: Sequence[str]
 ) -> Iterator[pa.RecordBatch]:
-    """Records that begin and end in the same split, without each file's header."""
-    pending, header = pa.array([], pa.string()), False
-    for split_start, fresh, position, run in positioned_runs(batches):
-        if fresh:
-            pending, header = pending.slice(0, 0), split_start == 0
-        head, tail = (within(run, run[name][0].as_py() - position) for name in ("head", "tail"))
-        lines = run["value"].slice(head, max(tail - head, 0))
-        if not len(lines):
-            continue
-        after = np.concatenate(
-            [np.ones(len(pending), bool), states_after(lines, len(pending) > 0)]
-        )
-        lines = pa.concat_arrays([pending, lines])
-        ends = np.flatnonzero(~after) + 1
+    """Join the lines of each record; ``batches`` hold only records that end in their split."""
+    current, header, pending = None, False, pa.array([], pa.string())
+    for key, run in split_runs(batches):
+        if key != current:
+            current, header = key, key[1] == 0
+        after = states_after(run["value"], len(pending) > 0)
+        ends = np.flatnonzero(~np.concatenate([np.ones(len(pending), bool), after])) + 1
+        lines = pa.concat_arrays([pending, run["value"]])
+        last = int(ends[-1]) if len(ends) else 0
         bounds = pa.array([0, *ends], pa.int32())
-        records = pc.binary_join(pa.ListArray.from_arrays(bounds, lines.slice(0, int(bounds[-1].as_py()))), "\n")
-        pending = lines.slice(int(bounds[-1].as_py()))
+        records = pc.binary_join(pa.ListArray.from_arrays(bounds, lines.slice(0, last)), "\n")
+        pending = lines.slice(last)
         if header and len(records):
             check_header(records[0].as_py(), names)
             records, header = records.slice(1), False
         yield pa.RecordBatch.from_arrays([records], names=["record"])
 
 
-def border_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of records that cross into or out of a split; ``opens`` marks a record's first."""
-    for _, _, position, run in positioned_runs(batches):
-        head, tail = run["head"][0].as_py(), run["tail"][0].as_py()
-        before = run.slice(0, within(run, head - position))
-        after = run.slice(within(run, tail - position))
-        for part, line in ((before, position), (after, max(tail, position))):
-            if len(part):
-                text = "\n".join(part["value"].to_pylist())
-                opens = int(part is after and line == tail)
-                row = [*(part[name][0].as_py() for name in SPLIT), line, opens, text]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v]) for v in row], names=[*SPLIT, "line", "opens", "text"]
-                )
-
-
 def split_states(lines: DataFrame) -> DataFrame:
     """Splits that records cross, with the lines (``head`` to ``tail``) of their whole records."""
+    names = "end_outside", "end_inside", "tail_outside", "tail_inside", "head"
     ends = lines.mapInArrow(
-        split_ends,
-        "file bigint, split_start bigint, end_outside bigint, end_inside bigint,"
-        " tail_outside bigint, tail_inside bigint, head bigint",
+        split_ends, ", ".join(f"{name} bigint" for name in (*SPLIT, "first", *names))
     )
     outside, inside = F.col("end_outside"), F.col("end_inside")
     fixed, flips = outside == inside, (outside > inside).cast("bigint")
@@ -196,6 +163,7 @@ def split_states(lines: DataFrame) -> DataFrame:
         .where(starts_inside | (outside == 1))
         .select(
             *SPLIT,
+            "first",
             F.when(starts_inside, F.col("head")).otherwise(F.lit(0)).alias("head"),
             F.when(starts_inside, F.col("tail_inside")).otherwise(F.col("tail_outside")).alias("tail"),
         )
@@ -211,36 +179,35 @@ def read_quoted(
     lines = text_lines(spark, paths).select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),
+        # Counts the lines of a task: consecutive within a split, the same in every scan.
+        F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("line"),
         F.make_valid_utf8("value").alias("value"),
     )
     # One small row per split that a record crosses: bounded by input size / split size.
     states = F.broadcast(split_states(lines))
+    line, head, tail = F.col("line"), F.col("head"), F.col("tail")
     whole = (
         lines.join(states, SPLIT, "left")
-        .select(
-            *SPLIT,
-            F.coalesce("head", F.lit(0)).alias("head"),
-            F.coalesce("tail", F.lit(NOT_HERE)).alias("tail"),
-            "value",
-        )
+        .where(F.coalesce((line >= head) & (line < tail), F.lit(True)))
+        .select(*SPLIT, "value")
         .mapInArrow(partial(whole_records, names=header), "record string")
     )
-    pieces = (
-        lines.join(states, SPLIT)
-        .select(*SPLIT, "head", "tail", "value")
-        .mapInArrow(
-            border_pieces, "file bigint, split_start bigint, line bigint, opens bigint, text string"
-        )
-    )
     order = Window.partitionBy("file").orderBy("split_start", "line")
     crossing = (
-        pieces.withColumn("number", F.sum("opens").over(order))
+        lines.join(states, SPLIT)
+        .where((line < head) | (line >= tail))
+        .withColumn("number", F.sum((line == tail).cast("int")).over(order))
+        .withColumn("is_header", (F.col("split_start") == 0) & (line == F.col("first")))
         .groupBy("file", "number")
-        .agg(F.sort_array(F.collect_list(F.struct("split_start", "line", "text"))).alias("parts"))
-        .where("parts[0].split_start > 0 OR parts[0].line > 0")  # a header that crosses a border
-        .select(F.array_join("parts.text", "\n").alias("record"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("split_start", "line", "value"))).alias("parts"),
+            F.max("is_header").alias("is_header"),
+        )
+        .where(~F.col("is_header"))
+        .select(F.array_join("parts.value", "\n").alias("record"))
     )
-    record = F.rtrim("record", F.lit("\r"))
+    record = F.col("record")
+    record = F.when(record.endswith("\r"), F.rtrim(record, F.lit("\r"))).otherwise(record)
     schema = ", ".join(f"`{name}` string" for name in header)
     parser = {**options, "mode": mode, "header": "false", "multiLine": "true"}
     return (
