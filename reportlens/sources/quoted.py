@@ -119,10 +119,10 @@ def whole_records(
     batches: Iterator[pa.RecordBatch], names: Sequence[str]
 ) -> Iterator[pa.RecordBatch]:
     """Join the lines of each record; ``batches`` hold only records that end in their split."""
-    current, header, pending = None, False, pa.array([], pa.string())
+    current, header, pending = None, False, None
     for key, run in split_runs(batches):
         if key != current:
-            current, header = key, key[1] == 0
+            current, header, pending = key, key[1] == 0, run["value"].slice(0, 0)
         after = states_after(run["value"], len(pending) > 0)
         ends = np.flatnonzero(~np.concatenate([np.ones(len(pending), bool), after])) + 1
         lines = pa.concat_arrays([pending, run["value"]])
