@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import mixing, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +26,14 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLE: dict[str, str] = {}
