@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing
+from . import mixing, packing, threshold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,9 +31,14 @@ def op7_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_threshold_top_k(spark, sf_dir):
+    return threshold.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
+    "op10_threshold_top_k": op10_threshold_top_k,
 }
 
 ORACLE: dict[str, str] = {}
