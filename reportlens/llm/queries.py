@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, threshold
+from . import mixing, packing, postings, threshold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_posting_lists(spark, sf_dir):
+    return postings.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -36,6 +40,7 @@ def op10_threshold_top_k(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op4_posting_lists": op4_posting_lists,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
     "op10_threshold_top_k": op10_threshold_top_k,
