@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, postings, threshold
+from . import mixing, packing, postings, quality, threshold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.rank(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_posting_lists(spark, sf_dir):
     return postings.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -40,6 +45,7 @@ def op10_threshold_top_k(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op4_posting_lists": op4_posting_lists,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
