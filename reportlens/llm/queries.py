@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, postings, quality, threshold
+from . import mixing, packing, postings, quality, threshold, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op1_quality(spark, sf_dir):
     return quality.rank(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_warc(spark, sf_dir):
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op4_posting_lists(spark, sf_dir):
     return postings.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -46,10 +50,24 @@ def op10_threshold_top_k(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op3_warc": op3_warc,
     "op4_posting_lists": op4_posting_lists,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
     "op10_threshold_top_k": op10_threshold_top_k,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), first AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM p WHERE strlen(html) >= 100
+            GROUP BY payload_digest
+        )
+        SELECT page_id, strlen(html) AS payload_bytes, p.payload_digest,
+            CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN first ON p.payload_digest = first.payload_digest AND strlen(html) >= 100
+    """,
+}
