@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, postings, quality, threshold, warc
+from . import jaccard, mixing, packing, postings, quality, threshold, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op4_posting_lists(spark, sf_dir):
     return postings.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op3_warc": op3_warc,
     "op4_posting_lists": op4_posting_lists,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
     "op10_threshold_top_k": op10_threshold_top_k,
