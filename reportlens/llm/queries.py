@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mixing, packing, postings, quality, threshold, warc
+from . import jaccard, mixing, packing, postings, quality, suffixes, threshold, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op1_quality(spark, sf_dir):
     return quality.rank(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_suffix_array_dedup(spark, sf_dir):
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark, sf_dir):
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,7 @@ def op10_threshold_top_k(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_warc": op3_warc,
     "op4_posting_lists": op4_posting_lists,
     "op5_jaccard_join": op5_jaccard_join,
