@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mixing, packing, postings, quality, suffixes, threshold, warc
+from . import jaccard, mixing, packing, postings, quality, suffixes, surrogates, threshold, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,13 @@ def op7_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_pii_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    if surrogates.collisions(surrogates.all_entities(docs)).limit(1).count():
+        raise RuntimeError("two entities share a surrogate")
+    return surrogates.with_surrogates(docs, count_col="n_entities")
+
+
 def op10_threshold_top_k(spark, sf_dir):
     return threshold.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -64,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op10_threshold_top_k": op10_threshold_top_k,
 }
 
