@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mixing, packing, postings, quality, suffixes, surrogates, threshold, warc
+from . import jaccard, likelihood, mixing, packing, postings, quality, suffixes, surrogates, threshold, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,10 @@ def op8_pii_surrogates(spark, sf_dir):
     return surrogates.with_surrogates(docs, count_col="n_entities")
 
 
+def op9_recurrent_lm(spark, sf_dir):
+    return likelihood.likelihoods(table(spark, sf_dir, "documents"))
+
+
 def op10_threshold_top_k(spark, sf_dir):
     return threshold.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
     "op8_pii_surrogates": op8_pii_surrogates,
+    "op9_recurrent_lm": op9_recurrent_lm,
     "op10_threshold_top_k": op10_threshold_top_k,
 }
 

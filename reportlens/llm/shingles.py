@@ -59,8 +59,9 @@ class Powers:
 POWERS = Powers()
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, A-Z lower-cased, and the first word of each text (one bound more).
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hashes of all words, A-Z lower-cased, their begins and ends, and the first word of each text (one
+    bound more).
 
     ``data`` holds the bytes of texts that begin and end at ``bounds``. A word's hash is a
     difference of prefix sums of its bytes' values times powers, brought to a common origin.
@@ -77,12 +78,12 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     ends[:-1] &= ~word[1:] | edge[1:-1]
     at, to = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     hashes = mixed((sums[to] - sums[at]) * down[at] + (to - at).astype(np.uint64))
-    return hashes, np.searchsorted(at, bounds)
+    return hashes, at, to, np.searchsorted(at, bounds)
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words than a shingle make one; none, none."""
-    words, first = word_hashes(data, bounds)
+    words, _, _, first = word_hashes(data, bounds)
     n = max(len(words) - WIDTH + 1, 0)
     joined = np.zeros(n, dtype=np.uint64)
     for k in range(WIDTH):
