@@ -286,7 +286,7 @@ def likelihoods(docs: DataFrame) -> DataFrame:
             count = np.where(x[at] == hashes, n[at], 0)
         own, of = np.unique(rows, return_inverse=True)
         return pa.table({
-            "row": own, "logs": np.bincount(of, np.log10(count + SMOOTH), len(own)),
+            "row": own, "logs": np.bincount(of, np.log10(count + SMOOTH), len(own)).astype(np.float64),
             "seen": np.bincount(of, count > 0, len(own)).astype(np.int64),
         })
 

@@ -141,7 +141,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix"
         added = F.col("extra") + F.coalesce("more", F.lit(0))
         return rows.join(more.select("row", F.lit(1).alias("more")), "row", "left").withColumn("extra", added).drop("more")
 
-    largest = Window.partitionBy("name").orderBy(F.desc("size"), "row")
+    largest = Window.partitionBy("name").orderBy(F.desc("size"), "rank", "doc_id", "row")
     filling = (
         with_gap(drawn_rows)
         .where("size <= gap")
@@ -156,7 +156,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix"
         with_gap(filled)
         .where(off < F.col("gap"))
         .groupBy("name")
-        .agg(F.min(F.struct(off, "rank", "row")).alias("best"))
+        .agg(F.min(F.struct(off, "rank", "doc_id", "row")).alias("best"))
         .select(F.col("best.row").alias("row"))
     )
     chosen = with_more(filled, closing)
