@@ -7,7 +7,8 @@ Two documents link when 100 * |intersection| >= 75 * |union| of their shingle se
    share a shingle among the first n - ceil(0.75 n) + 1 of their n. Classes with the same prefix
    and size form one group; groups meet in the posting lists of their prefix shingles.
 3. Lists with one group are dropped; the others are expanded to their classes. Pairs of a list
-   pass the size filter and are verified on the full sets.
+   pass a filter by sizes and by places in their prefixes, then one by all that their prefixes
+   have in common, and are verified on the full sets.
 
 A list with m members is not turned into m * m pairs. First every member is paired with one
 leader of its list, which joins copies into components; this is repeated with other leaders.
@@ -151,20 +152,36 @@ def prefix_of(hashes: np.ndarray, known: np.ndarray, counts: np.ndarray) -> tupl
 
 
 def postings(docs: DataFrame, known, buckets: int) -> DataFrame:
-    """Prefix shingles of all classes by bucket: per class the group, class, size, number of
-    shingles in the bucket and whether its first shingle is among them, then the shingles."""
+    """Prefix shingles of all classes, by bucket: ``n`` postings (shingle, group, size, place) and
+    ``members`` rows (group, class, size), the latter in the bucket of the class's first shingle.
+
+    The place of a shingle in its prefix is doubled; it is odd if the list is dealt into parts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = known.value
         met: set[int] = set()
-        heads: dict[int, list] = {}
-        bodies: dict[int, list] = {}
+        rows: list[tuple] = []
+        home: dict[int, list[tuple[int, int, int]]] = {}
         held = 0
 
         def dealt() -> Iterator[pa.RecordBatch]:
-            for b, rows in heads.items():
-                data = blob(np.array(rows, dtype=np.int64), np.concatenate(bodies[b]))
-                yield rows_of({"bucket": ([b], pa.int32()), "n": ([len(rows)], pa.int64()), "data": ([data], pa.binary())})
+            if not rows:
+                return
+            prefix, of, tag = (np.concatenate([r[k] for r in rows]) for k in (0, 1, 2))
+            sizes = [len(r[0]) for r in rows]
+            group = np.repeat(np.array([r[3] for r in rows], dtype=np.int64), sizes)
+            n = np.repeat(np.array([r[4] for r in rows], dtype=np.uint32), sizes)
+            order = np.argsort(of, kind="stable")
+            cuts = np.searchsorted(of[order], np.arange(buckets + 1, dtype=np.uint64))
+            for b in range(buckets):
+                at, own = order[cuts[b] : cuts[b + 1]], np.array(home.get(b, []), dtype=np.int64).reshape(-1, 3)
+                if len(at):
+                    data = blob(prefix[at], group[at], n[at], tag[at], own)
+                    yield rows_of({
+                        "bucket": ([b], pa.int32()), "n": ([len(at)], pa.int64()),
+                        "members": ([len(own)], pa.int64()), "data": ([data], pa.binary()),
+                    })
 
         for batch in batches:
             for _, hashes in batch_sets(batch.column("text")):
@@ -179,53 +196,44 @@ def postings(docs: DataFrame, known, buckets: int) -> DataFrame:
                 parts = often // np.uint64(PART) + np.uint64(1)
                 spread = np.uint64(k & (2**64 - 1)) % parts
                 of = ((prefix >> np.uint64(40)) + spread * np.uint64(7919)) % np.uint64(buckets)
-                order = np.argsort(of, kind="stable")
-                prefix, of, split = prefix[order], of[order], (parts > 1)[order]
-                begins = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-                home = int(np.flatnonzero(order == 0)[0])
-                for a, z in zip(begins.tolist(), [*begins[1:].tolist(), len(of)]):
-                    b = int(of[a])
-                    heads.setdefault(b, []).append((group, k, len(hashes), z - a, int(a <= home < z)))
-                    bodies.setdefault(b, []).extend([prefix[a:z], split[a:z].astype(np.uint64)])
+                tag = np.arange(len(prefix), dtype=np.uint32) * np.uint32(2) + (parts > 1).astype(np.uint32)
+                rows.append((prefix, of, tag, group, len(hashes)))
+                home.setdefault(int(of[0]), []).append((group, k, len(hashes)))
                 held += len(prefix)
                 if held >= COUNTED:
                     yield from dealt()
-                    heads, bodies, held = {}, {}, 0
+                    rows, home, held = [], {}, 0
         yield from dealt()
 
-    return docs.mapInArrow(run, "bucket int, n long, data binary")
+    return docs.mapInArrow(run, "bucket int, n long, members long, data binary")
 
 
 def live_lists(table: pa.Table) -> pa.Table:
-    """Rows (0, shingle, group, size) of lists with several groups and (1, group, class, size)."""
-    head, body, split = [], [], []
-    for n, data in zip(table.column("n").to_pylist(), table.column("data").to_pylist()):
-        rows = np.frombuffer(data, np.int64, 5 * n).reshape(n, 5)
-        head.append(rows)
-        rest, at = np.frombuffer(data, np.uint64, offset=40 * n), 0
-        sizes = rows[:, 3]
-        ends = np.cumsum(2 * sizes)
-        starts = ends - 2 * sizes
-        inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        body.append(rest[np.repeat(starts, sizes) + inside])
-        split.append(rest[np.repeat(starts + sizes, sizes) + inside] > 0)
-    head = np.concatenate(head)
-    x, divided = np.concatenate(body), np.concatenate(split)
-    group, size = np.repeat(head[:, 0], head[:, 3]), np.repeat(head[:, 2], head[:, 3])
+    """Rows (0, shingle, group, size, place) of lists with several groups, (1, group, class, size, 0)."""
+    parts: list[list[np.ndarray]] = [[], [], [], [], []]
+    for n, m, data in zip(*(table.column(x).to_pylist() for x in ("n", "members", "data"))):
+        at = 0
+        for part, (kind, size) in zip(
+            parts, ((np.uint64, n), (np.int64, n), (np.uint32, n), (np.uint32, n), (np.int64, 3 * m))
+        ):
+            part.append(np.frombuffer(data, kind, size, at))
+            at += part[-1].nbytes
+    x, group, n, tag, homes = map(np.concatenate, parts)
+    homes = np.unique(homes.reshape(-1, 3), axis=0)
     order = np.lexsort((group, x))
-    x, group, size, divided = x[order], group[order], size[order], divided[order]
+    x, group, n, tag = x[order], group[order], n[order], tag[order]
     new_list = np.concatenate([[True], x[1:] != x[:-1]])
     fresh = new_list | np.concatenate([[True], group[1:] != group[:-1]])
-    x, group, size, divided, new_list = x[fresh], group[fresh], size[fresh], divided[fresh], new_list[fresh]
-    at = np.flatnonzero(new_list)
-    members = np.repeat(np.diff(np.append(at, len(x))), np.diff(np.append(at, len(x))))
-    live = (members > 1) | divided
-    homes = np.unique(head[head[:, 4] == 1][:, :3], axis=0)
+    x, group, n, tag, new_list = x[fresh], group[fresh], n[fresh], tag[fresh], new_list[fresh]
+    sizes = np.diff(np.append(np.flatnonzero(new_list), len(x)))
+    live = (np.repeat(sizes, sizes) > 1) | (tag % 2 == 1)
+    nothing = np.zeros(len(homes), np.int64)
     return pa.table({
         "kind": pa.array(np.concatenate([np.zeros(int(live.sum()), np.int32), np.ones(len(homes), np.int32)])),
         "a": pa.array(np.concatenate([as_long(x[live]), homes[:, 0]])),
         "b": pa.array(np.concatenate([group[live], homes[:, 1]])),
-        "n": pa.array(np.concatenate([size[live], homes[:, 2]])),
+        "n": pa.array(np.concatenate([n[live].astype(np.int64), homes[:, 2]])),
+        "place": pa.array(np.concatenate([(tag[live] // 2).astype(np.int64), nothing])),
     })
 
 
@@ -297,8 +305,31 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return land(joined.mapInArrow(run, "a long, b long, links boolean"), "verified")
 
 
-def sizes_fit(n: str, m: str) -> Column:
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m))
+def needed(n: Column, m: Column) -> Column:
+    """The smallest intersection with which sets of these sizes link."""
+    return F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+
+
+def may_link(n: str, rest: str, m: str, other_rest: str) -> Column:
+    """Whether sets of sizes n and m can link if none of their shingles before this one is common;
+    ``rest`` counts a set's shingles from this one on."""
+    least = needed(F.col(n), F.col(m))
+    return (F.col(rest) >= least) & (F.col(other_rest) >= least)
+
+
+def enough_in_common(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The ``pairs(a, b)`` that can still link, given all shingles that their prefixes share.
+
+    All common shingles up to the end of one of the prefixes are in both, so the intersection is
+    at most their number plus what follows that prefix. ``shared(k, n, g, hs)`` holds per class
+    its group and the shingles of its prefix that other groups have in theirs.
+    """
+    left, right = (shared.select(*[F.col(c).alias(c + side) for c in ("k", "n", "g", "hs")]) for side in "ab")
+    after = F.ceil(PERCENT * F.greatest("na", "nb") / 100) - 1
+    common = F.size(F.array_intersect("hsa", "hsb"))
+    passes = (F.col("ga") == F.col("gb")) | (common + after >= needed(F.col("na"), F.col("nb")))
+    joined = pairs.join(left, pairs["a"] == left["ka"]).join(right, pairs["b"] == right["kb"])
+    return joined.where(passes).select("a", "b")
 
 
 def paired(df: DataFrame) -> DataFrame:
@@ -306,61 +337,64 @@ def paired(df: DataFrame) -> DataFrame:
     return df.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct()
 
 
-def class_components(docs: DataFrame, lists: DataFrame) -> DataFrame | None:
-    """``node`` and ``label`` of the classes that link with others; ``lists(h, k, n)`` is landed."""
+def class_components(docs: DataFrame, lists: DataFrame, shared: DataFrame) -> DataFrame | None:
+    """``node`` and ``label`` of the classes that link with others.
+
+    ``lists(h, k, n, rest)`` holds the members of all lists, ``shared`` see ``enough_in_common``;
+    both are landed.
+    """
     tested: DataFrame | None = None
+    linked: DataFrame | None = None
     labels: DataFrame | None = None
 
     def labelled() -> DataFrame:
-        """Lists that still hold several components, with the label ``c`` of each member."""
-        marked = lists.withColumn("c", F.col("k"))
-        if labels is not None:
-            marked = lists.join(labels, lists["k"] == labels["node"], "left").select(
-                "h", "k", "n", F.coalesce("label", "k").alias("c")
-            )
-        return land(marked, "marked")
+        """Members of lists with the label ``c`` of their component."""
+        if labels is None:
+            return lists.withColumn("c", F.col("k"))
+        marked = lists.join(labels, lists["k"] == labels["node"], "left")
+        return land(marked.select("h", "k", "n", "rest", F.coalesce("label", "k").alias("c")), "marked")
 
     def test(pairs: DataFrame) -> None:
-        nonlocal tested, labels
+        nonlocal tested, linked, labels
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = land(pairs, "pairs")
-        if not pairs.limit(1).count():
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        likely = land(enough_in_common(pairs, shared), "likely")
+        if not likely.limit(1).count():
             return
-        new = verified(docs, pairs)
-        tested = new if tested is None else tested.unionByName(new)
-        links = tested.where("links")
-        labels = components(links) if links.limit(1).count() else None
+        new = verified(docs, likely).where("links").select("a", "b")
+        linked = new if linked is None else linked.unionByName(new)
+        labels = components(linked) if linked.limit(1).count() else None
 
     for round_no in range(LEADER_ROUNDS + 1):
         marked = labelled()
         open_lists = marked.groupBy("h").agg(
             F.min("c").alias("low"),
             F.max("c").alias("high"),
-            F.min_by(F.struct("k", "n", "c"), F.xxhash64(F.lit(round_no), "c", "k")).alias("leader"),
+            F.min_by(F.struct("k", "n", "rest", "c"), F.xxhash64(F.lit(round_no), "c", "k")).alias("leader"),
         )
-        open_lists = land(open_lists.where("low < high"), "open")
+        open_lists = land(open_lists.where("low < high").select("h", "leader"), "open")
         if not open_lists.limit(1).count():
             break
         if round_no < LEADER_ROUNDS:
             led = marked.join(open_lists, "h").where(F.col("c") != F.col("leader.c"))
-            test(paired(led.where(sizes_fit("n", "leader.n")).select("k", F.col("leader.k").alias("other"))))
+            led = led.where(may_link("n", "rest", "leader.n", "leader.rest"))
+            test(paired(led.select("k", F.col("leader.k").alias("other"))))
             continue
-        # Whatever components still share a list: all pairs between them.
+        # Whatever components still share a list: all pairs between them that can link.
         still = land(marked.join(open_lists.select("h"), "h", "left_semi"), "still")
-        by_component = still.groupBy("h", "c").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        by_component = still.groupBy("h", "c").agg(F.min("n").alias("n"), F.max("rest").alias("rest"))
         by_component = land(by_component, "by-component")
-        other = by_component.select("h", F.col("c").alias("d"), F.col("least").alias("l"), F.col("most").alias("m"))
-        meeting = (
-            by_component.join(other, "h")
-            .where("c < d")
-            .where((100 * F.col("most") >= PERCENT * F.col("l")) & (100 * F.col("m") >= PERCENT * F.col("least")))
-            .select("h", "c", "d")
+        other = by_component.select("h", F.col("c").alias("d"), F.col("n").alias("m"), F.col("rest").alias("other_rest"))
+        meeting = by_component.join(other, "h").where("c < d").where(may_link("n", "rest", "m", "other_rest"))
+        meeting = meeting.select("h", "c", "d")
+        first = still.select("h", "c", "k", "n", "rest")
+        second = still.select(
+            "h", F.col("c").alias("d"), F.col("k").alias("other"), F.col("n").alias("m"), F.col("rest").alias("other_rest")
         )
-        first = still.select("h", "c", "k", "n")
-        second = still.select("h", F.col("c").alias("d"), F.col("k").alias("other"), F.col("n").alias("m"))
-        expanded = meeting.join(first, ["h", "c"]).join(second, ["h", "d"]).where(sizes_fit("n", "m"))
-        test(paired(expanded))
+        expanded = meeting.join(first, ["h", "c"]).join(second, ["h", "d"])
+        test(paired(expanded.where(may_link("n", "rest", "m", "other_rest"))))
     return labels
 
 
@@ -382,16 +416,23 @@ def near_copies(docs: DataFrame) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(frequent(surveyed, buckets))
     only_text = texts.select("text")
     lists = land(
-        postings(only_text, known, buckets).groupBy("bucket").applyInArrow(live_lists, "kind int, a long, b long, n long"),
+        postings(only_text, known, buckets).groupBy("bucket").applyInArrow(live_lists, "kind int, a long, b long, n long, place long"),
         "lists",
     )
     members = lists.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("k"), "n").distinct()
     members = land(members, "members")
     several = members.groupBy("g").agg(F.count("*").alias("size")).where("size > 1").select("g")
-    of_groups = lists.where("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("g"))
-    expanded = of_groups.distinct().join(members, "g").select("h", "k", "n")
-    within = members.join(land(several, "several"), "g", "left_semi").select(F.col("g").alias("h"), "k", "n")
-    labels = class_components(only_text, land(expanded.unionByName(within), "expanded"))
+    of_groups = lists.where("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("g"), "place").distinct()
+    expanded = of_groups.join(members, "g").select("h", "k", "n", (F.col("n") - F.col("place")).alias("rest"), "g")
+    expanded = land(expanded, "expanded")
+    # A group's members have their whole prefix in common.
+    alike = members.join(land(several, "several"), "g", "left_semi")
+    within = alike.select(F.col("g").alias("h"), "k", "n", F.col("n").alias("rest"), "g")
+    in_lists = land(expanded.unionByName(within), "members-of-lists")
+    shared = in_lists.groupBy("k").agg(
+        F.first("n").alias("n"), F.first("g").alias("g"), F.collect_list(F.when(F.col("h") != F.col("g"), F.col("h"))).alias("hs")
+    )
+    labels = class_components(only_text, in_lists.drop("g"), land(shared, "shared"))
 
     rows = surveyed.where("kind = 0").select("doc_id", "k", "k2", "n")
     if labels is None:
