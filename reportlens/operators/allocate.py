@@ -59,7 +59,7 @@ def geographic_rules(rules: Rules = DEFAULT_RULES) -> list[tuple[str, Column]]:
     return [
         ("state is a country code", state != "US"),
         ("state is not two characters", F.length(state) == 2),
-        ("state is not alphabetic", state.rlike(r"^\p{L}+$")),
+        ("state is not alphabetic", state.rlike(r"\A\p{L}+\z")),
         ("unknown manufacturer", F.col("manufacturer").isin(list(rules.makers))),
         ("no reports", F.col("total_reports") > 0),
     ]

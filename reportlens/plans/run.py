@@ -19,7 +19,7 @@ from ..operators.analyses import (
 from ..operators.quality import check_columns, check_files, check_not_empty
 from ..rules import CSV_SUFFIX, DEFAULT_RULES, NDJSON_SUFFIX, OUTPUT_STEMS, REQUIRED_FILES, Rules
 from ..session import scratch_path
-from ..sources.files import read_csv, read_csv_text, write_csv, write_ndjson
+from ..sources.files import read_csv_text, typed_columns, write_csv, write_ndjson
 
 
 def run_timestamp() -> str:
@@ -48,10 +48,10 @@ def read_inputs(
     }
     inputs = {}
     for kind, schema in schemas.items():
-        first_lines = read_csv_text(spark, paths[kind], mode="PERMISSIVE", breaks="none")
-        check_columns(first_lines, list(schema), kind)
-        check_not_empty(first_lines, kind)
-        inputs[kind] = read_csv(spark, paths[kind], schema, mode)
+        text = read_csv_text(spark, paths[kind], mode)
+        check_columns(text, list(schema), kind)
+        check_not_empty(text, kind)
+        inputs[kind] = typed_columns(text, schema, mode)
     return inputs
 
 

@@ -8,11 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .quoted import has_quoted_breaks, read_quoted
+from .quoted import read_quoted
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 REJECTED = "rejected_columns"
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def as_list(paths: str | Sequence[str]) -> list[str]:
@@ -36,27 +35,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv_text(
-    spark: SparkSession, paths: str | Sequence[str], mode: str = "FAILFAST", breaks: str = "auto"
+    spark: SparkSession, paths: str | Sequence[str], mode: str = "FAILFAST", breaks: str = "quoted"
 ) -> DataFrame:
     """All columns of one or several CSV files as text, named by their header.
 
-    A quoted field may contain line breaks. Spark can only split a file into tasks when no
-    field does, so ``breaks="auto"`` looks: files without one are read in splits as they
-    are (``"none"``), small files with one by Spark's reader in one task per file
-    (``"whole"``), and large ones by ``read_quoted``, which splits them too (``"quoted"``).
-    Naming one of the three skips the look. The only difference in results: Spark's reader
-    turns CR LF inside a field into LF, ``read_quoted`` keeps it.
+    A quoted field may contain line breaks of any kind, which stay as they are; files of all
+    sizes are read in splits (``read_quoted``). With ``breaks="none"`` the caller promises that
+    no field contains a line break, which saves a scan; a record then ends at every LF.
     """
+    if breaks not in ("quoted", "none"):
+        raise ValueError(f"breaks is 'quoted' or 'none', not {breaks!r}")
     paths = as_list(paths)
-    if breaks == "auto":
-        breaks = "none"
-        if has_quoted_breaks(spark, paths):
-            largest = file_sizes(spark, paths).agg(F.max("length")).first()[0]
-            breaks = "whole" if largest <= WHOLE_FILE_BYTES else "quoted"
-    reader = spark.read.options(**CSV_OPTIONS).option("mode", mode).option("enforceSchema", "false")
     if breaks == "quoted":
         return read_quoted(spark, paths, CSV_OPTIONS, mode)
-    return reader.option("multiLine", str(breaks == "whole").lower()).csv(paths)
+    reader = spark.read.options(**CSV_OPTIONS).option("mode", mode).option("enforceSchema", "false")
+    return reader.option("lineSep", "\n").csv(paths)
 
 
 def read_csv(
@@ -64,7 +57,7 @@ def read_csv(
     paths: str | Sequence[str],
     columns: Mapping[str, str] | None = None,
     mode: str = "FAILFAST",
-    breaks: str = "auto",
+    breaks: str = "quoted",
 ) -> DataFrame:
     """Named columns of CSV files, cast to the given types.
 
@@ -77,6 +70,11 @@ def read_csv(
     missing = [name for name in columns if name not in text.columns]
     if missing:
         raise ValueError(f"{', '.join(as_list(paths))}: columns not found: {', '.join(missing)}")
+    return typed_columns(text, columns, mode)
+
+
+def typed_columns(text: DataFrame, columns: Mapping[str, str], mode: str = "FAILFAST") -> DataFrame:
+    """The text columns cast to the given types; see ``read_csv`` for the modes."""
     if mode.upper() == "FAILFAST":
         return text.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
     values = {name: F.col(name).try_cast(kind) for name, kind in columns.items()}

@@ -1,11 +1,15 @@
 """CSV files whose quoted fields contain line breaks, read in splits.
 
 Spark reads such a file in one task, because a split that starts in the middle of a quoted
-field cannot know it. Here every split first reports how it would end if it started outside
-a quoted field, and if it started inside one. Chaining these answers over the splits of a
-file, a window over one row per split, tells each split how it really starts. Records that
-lie within a split are then parsed where they are; only the few that cross a border, at
-most one per split, are put together by a shuffle.
+field cannot know it. Here a first scan lets every split report how it would end if it started
+outside a quoted field, and if it started inside one. Chaining these answers over the splits of
+a file, a window over one row per split, tells each split how it really starts; the states are
+landed. Records that lie within a split are then parsed where they are; only the few that cross
+a border, at most one per split, are put together by a shuffle, which is left out, with its
+scan, if there are none.
+
+All scans cut the files alike, whatever executors come and go meanwhile: they run in a session
+whose split size doesn't depend on the number of cores, and a split without a state is an error.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 # The functions below travel to the executors with the plan: the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,21 +39,25 @@ CONTINUED_LINE = re.compile(rf'(?:[^"]++|"")*+"[^,]*+(?:,{FIELD})*+')
 SPLIT = ["file", "split_start"]
 NOT_HERE = 2**60
 MAX_RECORD_BYTES = 2**31 - 1  # a longer one does not fit a Spark string
+BROADCAST_SPLITS = 2**20  # states of some 60 bytes each
 
 
 def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(list(paths))
 
 
-def has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
-    """Whether some line is not a complete record, so that one of its fields goes on below.
+def pinned_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` in which split sizes don't depend on the cores.
 
-    While all lines before are complete, each line starts outside a field; one incomplete
-    line is therefore enough, and none means there are no breaks. The look stops early.
+    Spark shrinks splits to spread small inputs over all cores, but not below the cost of
+    opening a file; here that cost is the full split size.
     """
-    line = F.col("value")
-    incomplete = line.contains('"') & ~line.rlike(rf"\A{FRESH_LINE.pattern}\z")
-    return not text_lines(spark, paths).where(incomplete).isEmpty()
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return session
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -137,7 +147,8 @@ def whole_records(
 
 
 def split_states(lines: DataFrame) -> DataFrame:
-    """Splits that records cross, with the lines (``head`` to ``tail``) of their whole records."""
+    """One row per split: ``first`` line, and ``head`` to ``tail``, the lines of its whole records;
+    ``crossed`` unless these are all its lines."""
     names = "end_outside", "end_inside", "tail_outside", "tail_inside", "head"
     ends = lines.mapInArrow(
         split_ends, ", ".join(f"{name} bigint" for name in (*SPLIT, "first", *names))
@@ -160,21 +171,48 @@ def split_states(lines: DataFrame) -> DataFrame:
     return (
         counted.withColumn("start", start % 2)
         .withColumn("head", head)
-        .where(starts_inside | (outside == 1))
+        .withColumn("crossed", starts_inside | (outside == 1))
         .select(
             *SPLIT,
             "first",
             F.when(starts_inside, F.col("head")).otherwise(F.lit(0)).alias("head"),
-            F.when(starts_inside, F.col("tail_inside")).otherwise(F.col("tail_outside")).alias("tail"),
+            F.when(~F.col("crossed"), F.lit(NOT_HERE))
+            .when(starts_inside, F.col("tail_inside"))
+            .otherwise(F.col("tail_outside"))
+            .alias("tail"),
+            "crossed",
         )
     )
 
 
+def crossing_records(placed: DataFrame) -> DataFrame:
+    """The records that lie in several splits. A record is known by the split it starts in."""
+    line, head, tail = F.col("line"), F.col("head"), F.col("tail")
+    order = Window.partitionBy("file").orderBy("split_start", "line")
+    return (
+        placed.where(F.col("crossed") & ((line < head) | (line >= tail)))
+        .withColumn("number", F.sum((line == tail).cast("int")).over(order))
+        .withColumn("is_header", (F.col("split_start") == 0) & (line == F.col("first")))
+        .groupBy("file", "number")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("split_start", "line", "value"))).alias("parts"),
+            F.max("is_header").alias("is_header"),
+        )
+        .where(~F.col("is_header"))
+        .select(F.array_join("parts.value", "\n").alias("record"))
+    )
+
+
 def read_quoted(
     spark: SparkSession, paths: Sequence[str], options: Mapping[str, str], mode: str
 ) -> DataFrame:
-    """All columns of the files as text, named by the header of the first file."""
+    """All columns of the files as text, named by the header of the first file.
+
+    Runs the first scan at once.
+    """
     paths = list(paths)
+    scratch = scratch_path(spark, "csv-states")
+    spark = pinned_session(spark)
     header = spark.read.options(**options).option("multiLine", "true").csv(paths).columns
     lines = text_lines(spark, paths).select(
         F.xxhash64("_metadata.file_path").alias("file"),
@@ -183,36 +221,28 @@ def read_quoted(
         F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("line"),
         F.make_valid_utf8("value").alias("value"),
     )
-    # One small row per split that a record crosses: bounded by input size / split size.
-    states = F.broadcast(split_states(lines))
+    found = split_states(lines)
+    found.write.parquet(scratch)
+    states = spark.read.schema(found.schema).parquet(scratch)
+    known = states.agg(F.count("*"), F.sum(F.col("crossed").cast("int"))).first()
+    if known[0] <= BROADCAST_SPLITS:
+        states = F.broadcast(states)
     line, head, tail = F.col("line"), F.col("head"), F.col("tail")
+    lost = F.raise_error(F.lit("the files were cut differently by two scans"))
+    placed = lines.join(states, SPLIT, "left").withColumn("tail", F.coalesce(tail, lost.cast("bigint")))
     whole = (
-        lines.join(states, SPLIT, "left")
-        .where(F.coalesce((line >= head) & (line < tail), F.lit(True)))
+        placed.where((line >= head) & (line < tail))
         .select(*SPLIT, "value")
         .mapInArrow(partial(whole_records, names=header), "record string")
     )
-    order = Window.partitionBy("file").orderBy("split_start", "line")
-    crossing = (
-        lines.join(states, SPLIT)
-        .where((line < head) | (line >= tail))
-        .withColumn("number", F.sum((line == tail).cast("int")).over(order))
-        .withColumn("is_header", (F.col("split_start") == 0) & (line == F.col("first")))
-        .groupBy("file", "number")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("split_start", "line", "value"))).alias("parts"),
-            F.max("is_header").alias("is_header"),
-        )
-        .where(~F.col("is_header"))
-        .select(F.array_join("parts.value", "\n").alias("record"))
-    )
+    if known[1]:
+        whole = whole.unionByName(crossing_records(placed))
     record = F.col("record")
     record = F.when(record.endswith("\r"), F.rtrim(record, F.lit("\r"))).otherwise(record)
     schema = ", ".join(f"`{name}` string" for name in header)
     parser = {**options, "mode": mode, "header": "false", "multiLine": "true"}
     return (
-        whole.unionByName(crossing)
-        .select(record.alias("record"))
+        whole.select(record.alias("record"))
         .where(F.trim("record") != "")
         .select(F.from_csv("record", schema, parser).alias("fields"))
         .select("fields.*")
