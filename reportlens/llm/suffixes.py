@@ -35,6 +35,8 @@ LENGTH = 200
 GRAM = 32
 LONG_LIST = 50_000
 SEGMENT = 1 << 21
+#: Blocks per shuffle partition; a task holds one at a time.
+BLOCKS = 8
 POSITION_BITS = 24
 #: Random numbers per byte; unlike those of words they tell upper from lower case.
 BYTES = np.random.default_rng(23).integers(1, 2**63, 256, dtype=np.uint64)
@@ -134,6 +136,18 @@ def truncated_ranks(data: np.ndarray, length: int) -> np.ndarray:
     return ranks[:n]
 
 
+def plausible(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Which windows may have a copy: those without a 32-byte string that occurs once.
+
+    Occurrences are counted by a part of their hash, so a count of one is certain.
+    """
+    hashes = gram_hashes(data)
+    size = 1 << min(23, max(12, len(hashes).bit_length() + 1))
+    low = (hashes & np.uint64(size - 1)).astype(np.int64)
+    once = np.concatenate([[0], np.cumsum(np.bincount(low, minlength=size)[low] == 1)])
+    return once[windows + LENGTH - GRAM + 1] == once[windows]
+
+
 def repeated_windows(data: np.ndarray, windows: np.ndarray, earlier_only: bool) -> np.ndarray:
     """Which of the positions ``windows`` (ascending) have a copy of their ``LENGTH`` bytes at
     another of these positions, or at an earlier one.
@@ -141,14 +155,23 @@ def repeated_windows(data: np.ndarray, windows: np.ndarray, earlier_only: bool)
     The suffix order is that of the truncated ranks, then of positions. Among equals the previous
     smaller position of a suffix is its predecessor and the next smaller one doesn't exist, so
     LPF reaches ``LENGTH`` where there is a predecessor, its mirror image where there is a successor.
+    Only the text of windows that may have a copy is ranked.
     """
-    ranks = truncated_ranks(data, LENGTH)[windows]
+    found = np.zeros(len(windows), dtype=bool)
+    kept = np.flatnonzero(plausible(data, windows))
+    if not len(kept):
+        return found
+    covered = np.zeros(len(data) + 1, dtype=np.int32)
+    np.add.at(covered, windows[kept], 1)
+    np.add.at(covered, windows[kept] + LENGTH, -1)
+    covered = np.cumsum(covered)[:-1] > 0
+    place = np.cumsum(covered) - 1
+    ranks = truncated_ranks(data[covered], LENGTH)[place[windows[kept]]]
     order = np.argsort(ranks, kind="stable")
     equal = ranks[order][1:] == ranks[order][:-1]
-    found = np.zeros(len(windows), dtype=bool)
-    found[order[1:][equal]] = True
+    found[kept[order[1:][equal]]] = True
     if not earlier_only:
-        found[order[:-1][equal]] = True
+        found[kept[order[:-1][equal]]] = True
     return found
 
 
@@ -274,7 +297,7 @@ def removed_spans(texts: DataFrame, keep_first: bool, long_list: int = LONG_LIST
         .select("key.text_key", "wanted")
     )
     compared = land(with_bytes(texts.join(wanted, "text_key").select("text_key", "text", "wanted")), "compared")
-    blocks = parallelism(texts)
+    blocks = BLOCKS * parallelism(texts)
     block = F.pmod(F.xxhash64("anchor"), F.lit(blocks))
     inside = (
         compared.where("not hot")
