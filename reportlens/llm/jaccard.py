@@ -37,8 +37,9 @@ from .shingles import batch_sets, mixed
 PERCENT = 75
 FREQUENT = 1 << 20
 MAP_BITS = 1 << 26
-#: Shingles gathered before a task counts them.
-COUNTED = 1 << 23
+#: Shingles that a task gathers before it counts them, and before it deals them out.
+COUNTED = 1 << 22
+DEALT = 1 << 21
 #: Members of a list in one part, if the list is known to be frequent.
 PART = 100_000
 LEADER_ROUNDS = 3
@@ -200,7 +201,7 @@ def postings(docs: DataFrame, known, buckets: int) -> DataFrame:
                 rows.append((prefix, of, tag, group, len(hashes)))
                 home.setdefault(int(of[0]), []).append((group, k, len(hashes)))
                 held += len(prefix)
-                if held >= COUNTED:
+                if held >= DEALT:
                     yield from dealt()
                     rows, home, held = [], {}, 0
         yield from dealt()
