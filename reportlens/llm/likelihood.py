@@ -32,6 +32,8 @@ ROUNDS, SHARES = 2, 8
 FLUSH = 4_000_000
 END = np.uint64(0)
 SMOOTH = 0.1
+#: A row's number is its task and its place there.
+TASK_BITS = 36
 COUNTS = "bucket int, n long, data binary"
 
 
@@ -243,7 +245,7 @@ def likelihoods(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         rest_size, _ = words.rest_share()
-        task, done = TaskContext.get().partitionId() << 36, 0
+        task, done = TaskContext.get().partitionId() << TASK_BITS, 0
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for row, tokens, bounds in token_stream(batch.column("text")):
@@ -277,7 +279,7 @@ def likelihoods(docs: DataFrame) -> DataFrame:
     )
 
     def looked_up(table: pa.Table, rare: pa.Table) -> pa.Table:
-        """Sums per row over its words beyond the broadcast ones."""
+        """Sums per document over its words beyond the broadcast ones; a block per scoring task."""
         x, n = opened(table, np.uint64, np.int64)
         hashes, rows = opened(rare, np.uint64, np.int64)
         count = np.zeros(len(hashes))
@@ -285,18 +287,32 @@ def likelihoods(docs: DataFrame) -> DataFrame:
             at = np.minimum(np.searchsorted(x, hashes), len(x) - 1)
             count = np.where(x[at] == hashes, n[at], 0)
         own, of = np.unique(rows, return_inverse=True)
+        logs = np.bincount(of, np.log10(count + SMOOTH), len(own)).astype(np.float64)
+        seen = np.bincount(of, count > 0, len(own)).astype(np.int64)
+        tasks, cuts = np.unique(own >> TASK_BITS, return_index=True)
+        blobs = [
+            own[a:z].tobytes() + logs[a:z].tobytes() + seen[a:z].tobytes() for a, z in zip(cuts, [*cuts[1:], len(own)])
+        ]
         return pa.table({
-            "row": own, "logs": np.bincount(of, np.log10(count + SMOOTH), len(own)).astype(np.float64),
-            "seen": np.bincount(of, count > 0, len(own)).astype(np.int64),
+            "task": pa.array(tasks, pa.int64()), "n": pa.array(np.diff([*cuts, len(own)]), pa.int64()),
+            "data": pa.array(blobs, pa.binary()),
+        })
+
+    def summed(table: pa.Table) -> pa.Table:
+        rows, logs, seen = opened(table, np.int64, np.float64, np.int64)
+        own, of = np.unique(rows, return_inverse=True)
+        return pa.table({
+            "row": own, "logs": np.bincount(of, logs, len(own)).astype(np.float64),
+            "seen": np.bincount(of, seen, len(own)).astype(np.int64),
         })
 
     rare = scored.where("bucket is not null").select("bucket", "n", "data")
     sums = (
         counts.groupBy("bucket")
         .cogroup(rare.groupBy("bucket"))
-        .applyInArrow(looked_up, "row long, logs double, seen long")
-        .groupBy("row")
-        .agg(F.sum("logs").alias("logs"), F.sum("seen").alias("seen"))
+        .applyInArrow(looked_up, "task long, n long, data binary")
+        .groupBy("task")
+        .applyInArrow(summed, "row long, logs double, seen long")
     )
     extra = F.coalesce("logs", F.lit(0.0))
     return (
