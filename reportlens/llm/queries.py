@@ -81,6 +81,20 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op10_threshold_top_k": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * x::double) FOR x IN embedding] AS q FROM embeddings
+            WHERE embedding IS NOT NULL
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        )
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT query_id, vec_id, score,
+                (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::int AS rank
+            FROM scored
+        ) WHERE rank <= 5
+    """,
     "op3_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages
