@@ -43,6 +43,8 @@ DEALT = 1 << 21
 #: Members of a list in one part, if the list is known to be frequent.
 PART = 100_000
 LEADER_ROUNDS = 3
+#: Rows of an Arrow batch; a row of a pair holds two whole sets.
+ARROW_ROWS = 1000
 
 SURVEYED = "kind int, doc_id long, k long, k2 long, n long, bucket int, data binary"
 
@@ -411,6 +413,18 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Sets are compared by 64-bit hashes of shingles; two unequal sets with one class key would
     raise an error.
     """
+    conf, rows_key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(rows_key)
+    # Sets of long texts are large; everything that runs in Python runs before this returns.
+    conf.set(rows_key, str(min(ARROW_ROWS, int(before))))
+    try:
+        return joined_copies(docs)
+    finally:
+        conf.set(rows_key, before)
+
+
+def joined_copies(docs: DataFrame) -> DataFrame:
+    """``near_copies`` with the session's batch size."""
     buckets = parallelism(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     surveyed = land(survey(texts, buckets), "surveyed")
