@@ -124,6 +124,17 @@ SELECT age_group, manufacturer, total_cases, deaths, hospitalizations,
        manufacturer AS VAX_MANU_CLEAN, '{RUN_TS}' AS __time
 FROM severity"""
 
+GEOGRAPHIC_ROWS = f"""
+{places(STATE_WEIGHTS)}
+SELECT state, manufacturer, share AS total_reports,
+       trunc(deaths::double * factor)::bigint AS deaths,
+       trunc(hospitalizations::double * factor)::bigint AS hospitalizations,
+       round(CASE WHEN avg_age IS NULL OR avg_age = 0 THEN 45.0::double ELSE avg_age END, 6) AS avg_age,
+       round(deaths::double * factor * 100::double / share, 6) AS death_rate,
+       round(hospitalizations::double * factor * 100::double / share, 6) AS hospital_rate,
+       0 AS er_visits, manufacturer AS VAX_MANU_CLEAN, '{RUN_TS}' AS __time
+FROM shares"""
+
 EVENT_ROWS = """
 SELECT ts AS __time, strftime(ts, '%Y-%m-%d') AS day, event_type, 1::bigint AS event_count,
        value AS total_value
@@ -302,6 +313,38 @@ ORACLE: dict[str, str] = {
         SELECT event_type, count(*)::bigint AS event_count, round(sum(value), 6) AS total_value
         FROM events WHERE ts >= timestamp '2024-01-10 12:00:00' GROUP BY event_type""",
     "extracts_to_severity": SEVERITY_ROWS,
+    "csv_mixed_breaks": """
+        SELECT doc_id, md5(concat(lang, chr(13), text, chr(13), chr(10), '"q",', chr(10), chr(13), lang)) AS text_md5
+        FROM documents""",
+    "csv_permissive": """
+        SELECT event_id, CASE WHEN event_type <> 'click' THEN value END AS value,
+               CASE WHEN event_type = 'click' THEN 'value' ELSE '' END AS rejected
+        FROM events""",
+    "iso_timestamp_zone": """
+        SELECT event_id,
+               CASE WHEN event_type <> 'error' THEN ts
+                    ELSE timestamp '1970-01-01 00:00:00' END AS event_time
+        FROM events""",
+    "allocate_unknown_age": GEOGRAPHIC_ROWS.replace(
+        "round(CASE WHEN avg_age IS NULL OR avg_age = 0 THEN 45.0::double ELSE avg_age END, 6)",
+        "CASE WHEN manufacturer IN ('M1', 'M2') THEN 45.0::double ELSE round(avg_age, 6) END",
+    ),
+    "published_symptoms": f"{SYMPTOMS} SELECT *, '{RUN_TS}' AS __time FROM symptoms",
+    "published_geographic": GEOGRAPHIC_ROWS,
+    "published_chart": f"""
+        {SYMPTOMS}
+        SELECT symptom, sum(total_reports)::bigint AS "Total Reportes"
+        FROM symptoms GROUP BY symptom ORDER BY 2 DESC, 1 LIMIT 15""",
+    "published_datasource": f"""
+        {SYMPTOMS} SELECT manufacturer, symptom, total_reports, deaths, hospitalizations FROM symptoms""",
+    "run_summary": f"""
+        {CURATED}, symptoms AS ({grouped('manufacturer, symptom', 'total_reports')})
+        SELECT 'reports_read' AS name, count(*)::bigint AS row_count FROM reports
+        UNION ALL SELECT 'symptoms_read', count(*)::bigint FROM lines
+        UNION ALL SELECT 'vaccines_read', count(*)::bigint FROM lines
+        UNION ALL SELECT 'curated_rows', count(*)::bigint FROM curated
+        UNION ALL SELECT 'total_results', count(*)::bigint FROM symptoms
+        UNION ALL SELECT 'rejected_rows', 0::bigint""",
     "stream_ingest": TALLY,
     "profile": f"""
         WITH {REPORTS}

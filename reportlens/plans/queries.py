@@ -382,8 +382,41 @@ def datasource_replace(spark, sf_dir):
     )
 
 
-def extracts_to_severity(spark, sf_dir):
-    """The full run from CSV extracts; reports carry a text with quotes and line breaks."""
+def csv_mixed_breaks(spark, sf_dir):
+    """Whole documents whose text gets line breaks of all three kinds, through CSV."""
+    path = scratch_path(spark, "csv-breaks")
+    text = F.concat("lang", F.lit("\r"), "text", F.lit('\r\n"q",\n\r'), "lang")
+    files.write_csv(read(spark, sf_dir, "documents").select("doc_id", text.alias("text")), path)
+    stored = files.read_csv(spark, path, {"doc_id": "bigint", "text": "string"})
+    return stored.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+def csv_permissive(spark, sf_dir):
+    """Events with values that are no numbers: kept, with the columns named."""
+    path = scratch_path(spark, "csv-bad")
+    value = F.when(F.col("event_type") == "click", F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    files.write_csv(read(spark, sf_dir, "events").select("event_id", value.alias("value")), path)
+    stored = files.read_csv(spark, path, {"event_id": "bigint", "value": "double"}, mode="PERMISSIVE")
+    return stored.select("event_id", "value", F.array_join(files.REJECTED, ",").alias("rejected"))
+
+
+def iso_timestamp_zone(spark, sf_dir):
+    """Times as text that names the zone."""
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    events = read(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") != "error", text).alias("time"))
+    moment = C.iso_timestamp("time").cast("timestamp_ntz")
+    return events.select("event_id", moment.alias("event_time"))
+
+
+def allocate_unknown_age(spark, sf_dir):
+    """Totals without a mean age, or with 0, get the default age."""
+    totals_ = A.manufacturer_totals(tally(spark, sf_dir))
+    age = F.when(F.col("manufacturer") == "M2", F.lit(0.0)).when(F.col("manufacturer") != "M1", F.col("avg_age"))
+    return rounded(alloc.allocate_by_weights(totals_.withColumn("avg_age", age), RUN_TS, rules=RULES))
+
+
+def full_run(spark, sf_dir):
+    """Folder of the results and summary of a run from CSV; the reports' text has quotes and breaks."""
     folder = scratch_path(spark, "extracts")
     reports, symptom_rows, vaccines = inputs(spark, sf_dir)
     narrative = F.concat(F.lit('said "fine",\nlives in '), "state", F.lit("\n"))
@@ -395,10 +428,51 @@ def extracts_to_severity(spark, sf_dir):
     paths = {kind: f"{folder}/{kind}" for kind in extracts}
     for kind, rows in extracts.items():
         files.write_csv(rows, paths[kind])
-    run.run_analyses(spark, paths, f"{folder}/results", RUN_TS, RULES)
-    result = f"{folder}/results/{OUTPUT_STEMS['severity'][0]}{CSV_SUFFIX}"
-    stored = files.read_result_csv(spark, result, tables.RESULT_SCHEMAS["severity"])
-    return rounded(stored.withColumn("er_visits", F.col("er_visits").cast("int")))
+    results = f"{folder}/results"
+    return results, run.run_analyses(spark, paths, results, RUN_TS, RULES)
+
+
+def published(analysis):
+    """The result file of one analysis after a full run."""
+
+    def query(spark, sf_dir):
+        results, _ = full_run(spark, sf_dir)
+        path = f"{results}/{OUTPUT_STEMS[analysis][0]}{CSV_SUFFIX}"
+        stored = files.read_result_csv(spark, path, tables.RESULT_SCHEMAS[analysis])
+        if "er_visits" in stored.columns:
+            stored = stored.withColumn("er_visits", F.col("er_visits").cast("int"))
+        return rounded(stored)
+
+    return query
+
+
+extracts_to_severity = published("severity")
+
+
+def published_chart(spark, sf_dir):
+    """A dashboard chart on the table that a full run's result was loaded into."""
+    results, _ = full_run(spark, sf_dir)
+    tables.load_results(spark, results, ["symptoms"], on_missing="fail")
+    return serving.chart_query(spark, serving.CHARTS["top_symptoms"])
+
+
+def published_datasource(spark, sf_dir):
+    """A datasource loaded from the NDJSON files of a full run."""
+    results, _ = full_run(spark, sf_dir)
+    path = scratch_path(spark, "datasource")
+    D.ingest_files(spark, results, D.SYMPTOMS_SPEC, path)
+    stored = D.read_datasource(spark, D.SYMPTOMS_SPEC, path)
+    names = [m["name"] for m in D.SYMPTOMS_SPEC.metrics]
+    return stored.select("manufacturer", "symptom", *names)
+
+
+def run_summary(spark, sf_dir):
+    """The counts of a full run's summary, one row each."""
+    _, summary = full_run(spark, sf_dir)
+    counts = {f"{kind}_read": n for kind, n in summary["rows_read"].items()}
+    counts |= {"curated_rows": summary["curated_rows"], "total_results": summary["total_results"]}
+    counts["rejected_rows"] = summary["rejected_rows"]
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "name string, row_count bigint")
 
 
 def stream_ingest(spark, sf_dir):
@@ -503,6 +577,15 @@ QUERIES: dict[str, Query] = {
     "datasource_replace": datasource_replace,
     "time_filtered_sums": time_filtered_sums,
     "extracts_to_severity": extracts_to_severity,
+    "csv_mixed_breaks": csv_mixed_breaks,
+    "csv_permissive": csv_permissive,
+    "iso_timestamp_zone": iso_timestamp_zone,
+    "allocate_unknown_age": allocate_unknown_age,
+    "published_symptoms": published("symptoms"),
+    "published_geographic": published("geographic"),
+    "published_chart": published_chart,
+    "published_datasource": published_datasource,
+    "run_summary": run_summary,
     "stream_ingest": stream_ingest,
     "profile": profile,
     "quality_report": quality_report,

@@ -66,10 +66,15 @@ def land_inputs(inputs: Mapping[str, DataFrame], folder: str) -> dict[str, DataF
     return {kind: land(df, f"{folder.rstrip('/')}/{kind}") for kind, df in inputs.items()}
 
 
+def spread_totals(tally: DataFrame, run_ts: str, rules: Rules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
+    """The distribution over states: rows that meet the rules, and the others with a reason."""
+    spread = allocate_by_weights(manufacturer_totals(tally), run_ts, rules=rules)
+    return split_valid(spread, geographic_rules(rules))
+
+
 def analyses(tally: DataFrame, run_ts: str, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
     """The three published analyses of a tally."""
-    spread = allocate_by_weights(manufacturer_totals(tally), run_ts, rules=rules)
-    geographic, _ = split_valid(spread, geographic_rules(rules))
+    geographic, _ = spread_totals(tally, run_ts, rules)
     return {
         "symptoms": symptoms_by_manufacturer(tally, run_ts),
         "severity": severity_by_age(tally, run_ts),
@@ -129,5 +134,6 @@ def run_analyses(
         "rows_read": {kind: counts[kind].get["rows"] for kind in inputs},
         "curated_rows": tally.agg(F.sum("n_rows")).first()[0],
         "total_results": results["symptoms"].count(),
+        "rejected_rows": spread_totals(tally, run_ts, rules)[1].count(),
         "output_path": out,
     }

@@ -8,8 +8,9 @@ landed. Records that lie within a split are then parsed where they are; only the
 a border, at most one per split, are put together by a shuffle, which is left out, with its
 scan, if there are none.
 
-All scans cut the files alike, whatever executors come and go meanwhile: they run in a session
-whose split size doesn't depend on the number of cores, and a split without a state is an error.
+All scans must cut the files alike. Spark sizes the splits of small inputs by the number of cores,
+so cores that come or go between scans can change the cut: then a split has no state, which is
+an error, not a loss of rows.
 """
 
 from __future__ import annotations
@@ -46,20 +47,6 @@ def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(list(paths))
 
 
-def pinned_session(spark: SparkSession) -> SparkSession:
-    """A session with the settings of ``spark`` in which split sizes don't depend on the cores.
-
-    Spark shrinks splits to spread small inputs over all cores, but not below the cost of
-    opening a file; here that cost is the full split size.
-    """
-    session = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if session.conf.isModifiable(key):
-            session.conf.set(key, value)
-    session.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return session
-
-
 def ends_inside(line: str, inside: bool) -> bool:
     """Whether a quoted field is still open at the end of ``line``."""
     if '"' not in line:
@@ -212,7 +199,6 @@ def read_quoted(
     """
     paths = list(paths)
     scratch = scratch_path(spark, "csv-states")
-    spark = pinned_session(spark)
     header = spark.read.options(**options).option("multiLine", "true").csv(paths).columns
     lines = text_lines(spark, paths).select(
         F.xxhash64("_metadata.file_path").alias("file"),
