@@ -19,7 +19,7 @@ from ..operators.analyses import (
 from ..operators.quality import check_columns, check_files, check_not_empty
 from ..rules import CSV_SUFFIX, DEFAULT_RULES, NDJSON_SUFFIX, OUTPUT_STEMS, REQUIRED_FILES, Rules
 from ..session import scratch_path
-from ..sources.files import read_csv_text, typed_columns, write_csv, write_ndjson
+from ..sources.files import file_sizes, read_csv_text, typed_columns, write_csv, write_ndjson
 
 
 def run_timestamp() -> str:
@@ -106,7 +106,7 @@ def run_analyses(
     started = time.monotonic()
     run_ts = run_ts or run_timestamp()
     inputs = read_inputs(spark, paths, rules, mode)
-    files = sum(len(df.inputFiles()) for df in inputs.values())
+    files = sum(file_sizes(spark, path).count() for path in paths.values())
     if landing:
         inputs = land_inputs(inputs, landing)
     counts = {kind: Observation(f"{kind}-{run_ts}") for kind in inputs}
