@@ -155,6 +155,8 @@ def reports_by_state(
 
 
 METRIC_TYPES = {"longSum": "bigint", "doubleSum": "double"}
+#: Fields whose sum means nothing.
+RATIOS = frozenset({"avg_age", "death_rate", "hospital_rate", "severe_rate"})
 
 
 def aggregate_metrics(
@@ -167,8 +169,11 @@ def aggregate_metrics(
     """Apply declared metrics ``{name, type, fieldName}`` over text dimensions.
 
     Without ``rollup`` rows are only projected, renamed and cast. With it they are summed
-    per dimensions and time; ratios then have to be derived again from the sums.
+    per dimensions and time; ``RATIOS`` are refused, as they have to be derived from the sums.
     """
+    refused = sorted({metric["fieldName"] for metric in metrics} & RATIOS)
+    if rollup and refused:
+        raise ValueError(f"a rollup can't sum {', '.join(refused)}")
     fields = [
         (metric["name"], F.col(metric["fieldName"]).cast(METRIC_TYPES[metric["type"]]))
         for metric in metrics

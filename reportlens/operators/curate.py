@@ -172,15 +172,18 @@ def symptom_counts(symptoms: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
 def join_symptoms(
     exposures: DataFrame, symptoms: DataFrame, rules: Rules, salt_buckets: int = 1
 ) -> DataFrame:
-    """Join counted symptoms to counted reports and doses on the id.
+    """Join symptoms to counted reports and doses on the id.
 
-    ``salt_buckets`` above 1 also spreads a single id with very many different terms: the
-    symptom rows of an id go to that many partitions and its few exposure rows are repeated
-    in each. Each pair still meets exactly once.
+    The hash of the id as a second key makes the exposures, already grouped by id, pass an
+    exchange of the join, so that AQE can split an id with very many symptom rows.
+    ``salt_buckets`` above 1 spreads such an id without AQE: its symptom rows go to that many
+    partitions and its few exposure rows are repeated in each. Each pair still meets once.
     """
     key = rules.id_col
     if salt_buckets <= 1:
-        return exposures.join(symptoms, key)
+        key_hash = F.xxhash64(key).alias("id_hash")
+        hashed = [df.select("*", key_hash) for df in (exposures, symptoms)]
+        return hashed[0].join(hashed[1], [key, "id_hash"]).drop("id_hash")
     salted = symptoms.withColumn(
         "salt", F.pmod(F.xxhash64("symptom"), F.lit(salt_buckets)).cast("int")
     )

@@ -239,6 +239,9 @@ def test_rollup_sums_and_plain_metrics_do_not(spark):
     metrics = [D.double_sum("total", "v")]
     assert rows(aggregate_metrics(df, ["d"], metrics)) == [("1", 2.0), ("1", 3.0)]
     assert rows(aggregate_metrics(df, ["d"], metrics, rollup=True)) == [("1", 5.0)]
+    rates = df.withColumnRenamed("v", "death_rate")
+    with pytest.raises(ValueError, match="death_rate"):
+        aggregate_metrics(rates, ["d"], [D.double_sum("death_rate")], rollup=True)
 
 
 def test_late_files_and_repeated_refresh(spark, data_dir, tmp_path):

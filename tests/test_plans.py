@@ -126,23 +126,41 @@ def test_dominant_id_is_folded_before_the_join(spark):
     assert K.symptom_counts(symptoms, RULES).where("report_id = 1").count() <= 700
 
 
-def test_semi_join_splits_a_dominant_id(spark):
-    reports, _, vaccines = dominated(spark, 60000)
-    with conf(
+def small_skew(spark):
+    """Settings with which AQE splits partitions of a few kilobytes."""
+    return conf(
         spark,
         **{
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         },
-    ):
+    )
+
+
+def test_semi_join_splits_a_dominant_id(spark):
+    reports, _, vaccines = dominated(spark, 60000)
+    with small_skew(spark):
         kept = K.select_reports(reports, K.target_ids(vaccines, RULES), RULES)
         assert len(kept.collect()) == 60000
         assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_tally_splits_a_dominant_id_of_different_terms(spark):
+    reports, _, vaccines = dominated(spark, 60000)
+    ids = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id"))
+    symptoms = spark.range(60000).select(
+        ids.alias("report_id"), F.concat(F.lit("symptom number "), F.col("id")).alias("p_name")
+    )
+    with small_skew(spark):
+        tally = A.report_tally(reports, symptoms, vaccines, RULES)
+        tally.collect()
+        assert "skew=true" in tally._jdf.queryExecution().executedPlan().toString()
+
+
 def test_folded_equals_row_by_row_on_sample_tables(spark):
     inputs = analogue.inputs(spark, SF_DIR)
     keys = ["manufacturer", "symptom", "age_group"]
