@@ -2,9 +2,9 @@
 
 1. Word counts of all training documents. Tasks count by hash and hand on one block of counts
    per bucket; the most frequent ``KNOWN`` words, a fixed bound, are broadcast with their counts.
-2. The network learns on training documents, ``ROUNDS`` times another share of them: in each
-   round every task trains a copy on its own documents, and the copies are averaged, weighted
-   by tokens. The shares are fractions of the corpus, so the work grows with it.
+2. The network learns on all training documents, dealt over ``ROUNDS``: in each round every task
+   trains a copy on its own documents of the round, and the copies are averaged, weighted by
+   tokens.
 3. One pass scores all documents. What depends on words beyond ``KNOWN`` is left open there and
    filled in by joining those words with their counts, bucket by bucket.
 """
@@ -27,8 +27,8 @@ from .shingles import text_chunks, word_hashes
 
 FOLDS = 10
 KNOWN = 1 << 20
-#: Shares of the training documents that the rounds learn from: round r takes share r of SHARES.
-ROUNDS, SHARES = 2, 8
+#: Every training document belongs to one round.
+ROUNDS = 2
 FLUSH = 4_000_000
 END = np.uint64(0)
 SMOOTH = 0.1
@@ -213,8 +213,8 @@ def learned(training: DataFrame, words: Words) -> Network:
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([weights.tobytes()], pa.binary())], ["n", "weights"])
 
-        share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARES)) == number
-        copies = training.where(share).select("text").mapInArrow(run, "n long, weights binary")
+        own = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == number
+        copies = training.where(own).select("text").mapInArrow(run, "n long, weights binary")
         add = lambda a, b: (a[0] + b[0], a[1] + b[1])
         seen, weights = (
             copies.rdd.map(lambda r: (r["n"], np.frombuffer(r["weights"]))).treeAggregate((0, 0.0), add, add)

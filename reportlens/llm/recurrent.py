@@ -35,9 +35,21 @@ def log_share(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, target:
     return picked - np.log(np.exp(x, out=x).sum(axis=1))
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def sums_by(keys: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the rows of each key below ``size``."""
+    order = np.argsort(keys, kind="stable")
+    own = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    out[own[starts]] = np.add.reduceat(rows[order], starts, axis=0)
+    return out
 
 
 @dataclass
@@ -116,7 +128,7 @@ class Network:
         states, flat = h[1:].reshape(-1, HIDDEN), target.ravel()
         kind, place = flat // CLASSES, flat % CLASSES
         share = np.float32(1 / len(flat))
-        d_class = np.exp(log_softmax(states @ self.classes + self.class_bias))
+        d_class = softmax(states @ self.classes + self.class_bias)
         d_class[np.arange(len(flat)), kind] -= 1
         d_class *= share
         d_states = d_class @ self.classes.T
@@ -126,7 +138,7 @@ class Network:
         for c, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
             if b > a:
                 at = order[a:b]
-                d = np.exp(log_softmax(states[at] @ self.words[c] + self.word_bias[c]))
+                d = softmax(states[at] @ self.words[c] + self.word_bias[c])
                 d[np.arange(b - a), place[at]] -= 1
                 d *= share
                 d_words[c], d_word_bias[c] = states[at].T @ d, d.sum(axis=0)
@@ -146,8 +158,7 @@ class Network:
             d_g[:, 2 * HIDDEN :] *= r
             d_turn += before[t].T @ d_g
             carry = (d * z + d_g @ self.turn.T) * ~fresh[t][:, None]
-        d_inputs = np.zeros_like(self.inputs)
-        np.add.at(d_inputs, previous.ravel(), d_gates.reshape(-1, 3 * HIDDEN))
+        d_inputs = sums_by(previous.ravel(), d_gates.reshape(-1, 3 * HIDDEN), SIZE)
         grads = [d_inputs, d_turn, states.T @ d_class, d_class.sum(axis=0), d_words, d_word_bias]
         return grads, h[-1]
 
@@ -155,13 +166,14 @@ class Network:
 def train(network: Network, tokens: np.ndarray, end: int) -> Network:
     """One pass over ``tokens``, documents that each close with ``end``, in parallel streams.
 
-    Truncated backpropagation: gradients stay within a window, states go on to the next.
+    Truncated backpropagation: gradients stay within a window, states go on to the next. The
+    last stream is filled up from the first tokens.
     """
-    streams = int(min(STREAMS, max(4, len(tokens) // (WINDOW * 64))))
-    length = (len(tokens) - 1) // streams
-    if length < 1:
+    if len(tokens) < 2:
         return network
-    source = tokens[: streams * length + 1]
+    streams = int(min(STREAMS, max(4, len(tokens) // (WINDOW * 64))))
+    length = -(-(len(tokens) - 1) // streams)
+    source = np.concatenate([tokens[:1], np.resize(tokens[1:], streams * length)])
     previous, target = source[:-1].reshape(streams, length).T, source[1:].reshape(streams, length).T
     parts = network.filled(network.flat()).parts()
     first = [np.zeros_like(p) for p in parts]

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reportlens.llm import jaccard, likelihood, mixing, packing, quality, suffixes, surrogates
+from reportlens.llm import jaccard, likelihood, mixing, packing, quality, recurrent, suffixes, surrogates
 from reportlens.llm.queries import vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -331,3 +331,33 @@ def test_likelihood_learns_order(spark):
     got = likelihood.likelihoods(docs).where("held_out")
     sums = got.agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert sums[0] > 0.5 * sums[1]  # logarithms: the larger is the likelier
+
+
+def test_likelihood_learns_from_every_training_document(spark, monkeypatch):
+    """Each token of the training documents reaches the training once, and a gradient within it."""
+    rows = [(k, f"w{k} " * (1 + k % 5)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = likelihood.statistics(likelihood.token_counts(docs, 4), 4)
+    used = spark.sparkContext.accumulator(0)
+
+    def count(network, tokens, end):
+        used.add(len(tokens) - 1)
+        return network
+
+    monkeypatch.setattr(likelihood, "train", count)
+    likelihood.learned(docs, words)
+    assert used.value == words.total
+
+
+def test_training_leaves_no_token_out(monkeypatch):
+    seen = Counter()
+
+    def note(self, previous, target, fresh, state):
+        seen.update(target.ravel().tolist())
+        return [np.zeros_like(p) for p in self.parts()], state
+
+    monkeypatch.setattr(recurrent.Network, "gradients", note)
+    for n in (1, 3, 7, 1021):
+        seen.clear()
+        recurrent.train(recurrent.Network.start(np.ones(recurrent.SIZE)), np.concatenate([[0], np.arange(n) + 1, [0]]), 0)
+        assert set(seen) == set(range(n + 1))
