@@ -7,7 +7,9 @@ the lists of a vector and of a query:
 * a vector goes to its nearest cluster and, near a boundary, to further ones whose centroid is
   hardly farther; a centroid that lies closer to an already chosen one than to the vector is
   passed over, since it would repeat the same direction;
-* a query reads the lists whose centroid is at most ``PROBE_RATIO`` times as far as the nearest.
+* a query reads the lists whose centroid is at most ``PROBE_RATIO`` times as far as the nearest,
+  and further ones, nearest first, until they are sure to hold k others; a query that still
+  finds fewer is compared with all vectors.
 
 Equal vectors are one entry with its smallest ids, of which an answer can hold no more than the
 first k + 1; long lists are dealt into parts, so a frequent vector or a dense cluster stays
@@ -16,6 +18,7 @@ within the memory of a task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +34,8 @@ SAMPLE = 20_000
 MAX_CENTROIDS = 8192
 LIST = 100
 LIST_PART = 4096
+#: Queries that are compared with all vectors by one task at a time.
+SCANNED = 1024
 REPLICAS = 6
 BOUNDARY_RATIO = 1.15
 PROBES = 64
@@ -139,13 +144,21 @@ class CentroidGraph:
             out.append(chosen or [int(at[0])])
         return out
 
-    def probes(self, x: np.ndarray) -> list[list[int]]:
-        """The clusters that each query reads."""
+    def probes(self, x: np.ndarray, sizes: np.ndarray, kept: int) -> list[list[int]]:
+        """The clusters that each query reads, of which ``sizes`` has the numbers of entries.
+
+        An entry is in at most ``REPLICAS`` lists, so that many times ``kept`` hold ``kept`` entries.
+        """
         found, away = self.search(x, PROBES)
-        return [list(map(int, at[d <= PROBE_RATIO * d[0] + 1e-12])) for at, d in zip(found, away)]
+        out = []
+        for at, d in zip(found, away):
+            before = np.cumsum(sizes[at]) - sizes[at]
+            wanted = (d <= PROBE_RATIO * d[0] + 1e-12) | (before < kept * REPLICAS)
+            out.append(list(map(int, at[wanted & np.isfinite(d)])))
+        return out
 
 
-def with_clusters(df: DataFrame, graph: CentroidGraph, probing: bool) -> DataFrame:
+def with_clusters(df: DataFrame, lists_of: Callable[[np.ndarray], list[list[int]]]) -> DataFrame:
     """``df`` with the column ``clusters``; its rows hold a vector ``v``."""
 
     def assign(batches):
@@ -154,8 +167,7 @@ def with_clusters(df: DataFrame, graph: CentroidGraph, probing: bool) -> DataFra
             for at in range(0, len(table), 1024):
                 part = table.slice(at, 1024)
                 x = matrix(part.column("v"))
-                lists = (graph.probes if probing else graph.homes)(x)
-                yield from part.append_column("clusters", pa.array(lists, pa.list_(pa.int32()))).to_batches()
+                yield from part.append_column("clusters", pa.array(lists_of(x), pa.list_(pa.int32()))).to_batches()
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(assign, f"{kinds}, clusters array<int>")
@@ -179,13 +191,43 @@ def nearest_in_list(entries: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     return pa.table({n: pa.array(c, kinds[n]) for n, c in out.items()})
 
 
+NEAREST = "asker long, entry long, ids array<long>, score double"
+
+
+def first_ids(found: DataFrame, kept: int) -> DataFrame:
+    """The first ``kept`` ids of every asker. An entry met in several lists counts once."""
+    entries = found.groupBy("asker", "entry").agg(F.first("ids").alias("ids"), F.min("score").alias("score"))
+    by_score = Window.partitionBy("asker").orderBy("score", "vec_id")
+    return (
+        entries.select("asker", "score", F.explode("ids").alias("vec_id"))
+        .withColumn("place", F.row_number().over(by_score))
+        .where(F.col("place") <= kept)
+        .groupBy("asker")
+        .agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("answer"))
+    )
+
+
+def exact_scan(unique: DataFrame, n: int, askers: DataFrame, n_askers: int, kept: int) -> DataFrame:
+    """The ``kept`` nearest entries of every part of ``unique`` for all ``askers`` (u, v), block by block."""
+    parts, blocks = -(-n // LIST_PART), -(-n_askers // SCANNED)
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    dealt = lambda count: F.pmod(F.xxhash64("u"), F.lit(count)).cast("int")
+    entries = unique.select("u", "v", "ids", dealt(parts).alias("part"), every(blocks).alias("block"))
+    asking = askers.select("u", "v", dealt(blocks).alias("block"), every(parts).alias("part"))
+    return (
+        entries.groupBy("part", "block")
+        .cogroup(asking.groupBy("part", "block"))
+        .applyInArrow(lambda left, right: nearest_in_list(left, right, kept), NEAREST)
+    )
+
+
 def nearest(
     table: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """The k nearest other vectors found for every ``every``-th id: query_id, rank, vec_id, score.
 
     Nearness is Euclidean distance in double precision on the given vectors; ties go to the
-    smaller id; with fewer candidates there are fewer rows. See ``usable`` for the vectors that
+    smaller id; only with fewer candidates there are fewer rows. See ``usable`` for the vectors that
     take part; zero vectors don't. Approximate: of the true neighbours some may be missing.
     """
     kept = k + 1
@@ -207,17 +249,18 @@ def nearest(
     want = max(1, min(MAX_CENTROIDS, n // LIST, len(sample) // 4))
     graph = CentroidGraph.build(balanced_centroids(sample, want))
 
-    homes = with_clusters(unique.select("u", "v", "ids"), graph, probing=False)
+    homes = with_clusters(unique.select("u", "v", "ids"), graph.homes)
     listed = land(homes.withColumn("cluster", F.explode("clusters")).drop("clusters"), "lists")
-    parts = {
-        r["cluster"]: -(-r["count"] // LIST_PART) for r in listed.groupBy("cluster").count().collect()
-    }  # MAX_CENTROIDS rows at most
+    # MAX_CENTROIDS rows at most.
+    counts = {r["cluster"]: r["count"] for r in listed.groupBy("cluster").count().collect()}
+    sizes = np.array([counts.get(c, 0) for c in range(len(graph.centers))])
+    parts = {c: -(-count // LIST_PART) for c, count in counts.items()}
     parts_of = F.create_map(*[F.lit(x) for c, p in parts.items() if p > 1 for x in (c, p)] or [F.lit(-1), F.lit(1)])
     n_parts = F.coalesce(F.try_element_at(parts_of, "cluster"), F.lit(1))
 
     asked = whole.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), "k1", "k2")
     askers = land(asked.join(unique.select("u", "v", "k1", "k2"), ["k1", "k2"]).select("query_id", "u", "v"), "askers")
-    probing = with_clusters(askers.groupBy("u").agg(F.first("v").alias("v")), graph, probing=True)
+    probing = with_clusters(askers.groupBy("u").agg(F.first("v").alias("v")), lambda x: graph.probes(x, sizes, kept))
     probing = (
         probing.withColumn("cluster", F.explode("clusters"))
         .withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
@@ -227,22 +270,16 @@ def nearest(
     found = (
         dealt.groupBy("cluster", "part")
         .cogroup(probing.groupBy("cluster", "part"))
-        .applyInArrow(
-            lambda left, right: nearest_in_list(left, right, kept),
-            "asker long, entry long, ids array<long>, score double",
-        )
-    )
-    # An entry met in several lists counts once; then the first k + 1 ids of every asker.
-    nearest_entries = found.groupBy("asker", "entry").agg(F.first("ids").alias("ids"), F.min("score").alias("score"))
-    by_score = Window.partitionBy("asker").orderBy("score", "vec_id")
-    answers = (
-        nearest_entries.select("asker", "score", F.explode("ids").alias("vec_id"))
-        .withColumn("place", F.row_number().over(by_score))
-        .where(F.col("place") <= kept)
-        .groupBy("asker")
-        .agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("answer"))
+        .applyInArrow(lambda left, right: nearest_in_list(left, right, kept), NEAREST)
     )
-    answers = land(answers, "answers")
+    answers = land(first_ids(found, kept), "answers")
+    complete = answers.where(F.size("answer") >= min(kept, whole.count()))
+    short = askers.select("u", "v").dropDuplicates(["u"]).join(complete, F.col("u") == F.col("asker"), "left_anti")
+    short = land(short, "short")
+    n_short = short.count()
+    if n_short:
+        scanned = first_ids(exact_scan(unique, n, short, n_short, kept), kept)
+        answers = complete.unionByName(land(scanned, "scanned"))
     others = F.filter("answer", lambda x: x["vec_id"] != F.col("query_id"))
     return (
         askers.select("query_id", F.col("u").alias("asker"))

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import types as T
 
 from reportlens.llm import postings, threshold
@@ -105,6 +106,20 @@ def test_postings_with_long_lists(spark, monkeypatch):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(100, 1, 7), (100, 2, 3)]
 
 
+@pytest.mark.parametrize("probes", [postings.PROBES, 1])
+def test_postings_give_outliers_all_ranks(spark, monkeypatch, probes):
+    """Queries far from all others have lists of their own; also where few lists may be read."""
+    monkeypatch.setattr(postings, "PROBES", probes)
+    monkeypatch.setattr(postings, "SCANNED", 8)
+    monkeypatch.setattr(postings, "LIST_PART", 256)
+    draw = np.random.default_rng(5)
+    x = draw.normal(0, 1, (2000, 16)).astype(np.float32)
+    x[::100] *= 50
+    data = [(k, v.tolist(), 1, "a", "b") for k, v in enumerate(x)]
+    got = postings.nearest(spark.createDataFrame(data, SCHEMA).repartition(3)).collect()
+    assert recall(data, got, 16) >= 0.5
+
+
 def test_centroids_are_balanced():
     draw = np.random.default_rng(3)
     x = np.concatenate([draw.normal(0, 1, (4000, 8)), draw.normal(20, 0.1, (1000, 8))])
