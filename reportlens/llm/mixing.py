@@ -5,8 +5,10 @@ times the source; what capped sources cannot take is shared by weight among the
 every document as many whole copies are certain as fit into target / size of its source; the
 rest of the target is filled by a Pareto order sample: documents are ranked by the odds of a
 keyed uniform number divided by their inclusion odds, and the first of that order are taken
-while their words fit; a few documents of fitting size fill the gap that remains. A document larger than the rest has inclusion probability 0, the
-others share the expected words, so probabilities differ between sources and within them.
+while their words fit. What then fits the gap that remains is drawn on in the same order, until
+no free document fits; one more closes the last gap if that helps. A document larger than the
+rest has inclusion probability 0; that of the others grows with their size and adds up to the
+rest in expected words, so probabilities differ between sources and within them.
 
 Order statistics of a source come from counts by rank bucket: only the one bucket in which the
 target falls is sorted, so a source with a third of all rows does not pass through one task.
@@ -14,6 +16,8 @@ target falls is sorted, so a source with a third of all rows does not pass throu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +26,6 @@ from .common import SPACES, land
 MAX_COPIES = 3
 #: Rank buckets of a source; documents of one bucket are ordered in one task.
 BUCKETS = 1 << 16
-#: Documents of a source that are tried, largest first, for what the draw leaves of its target.
-FILLERS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -69,6 +71,31 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     return leveled.select("source", F.col("source_size").cast("long").alias("source_size"), target.alias("target"))
 
 
+def first_that_fit(free: DataFrame) -> DataFrame:
+    """``free`` with ``taken``: the first of each source by rank whose words together fit its ``gap``.
+
+    Only the bucket in which a source's words exceed the gap is put in order.
+    """
+    by_bucket = free.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
+    upto = F.sum("words").over(Window.partitionBy("source").orderBy("bucket"))
+    border = (
+        by_bucket.withColumn("before", upto - F.col("words"))
+        .where(F.col("before") < F.col("gap"))
+        .groupBy(F.col("source").alias("name"))
+        .agg(F.max(F.struct("bucket", "before")).alias("last"))
+        .select("name", F.col("last.bucket").alias("last_bucket"), F.col("last.before").alias("before"))
+    )
+    border = land(border, "border")
+    placed = free.join(border, free["source"].eqNullSafe(border["name"])).drop("name")
+    within = Window.partitionBy("source").orderBy("rank", "doc_id", "size", "row").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    reached = F.col("before") + F.sum("size").over(within)
+    edge = placed.where("bucket = last_bucket").withColumn("taken", reached <= F.col("gap"))
+    others = placed.where("bucket <> last_bucket").withColumn("taken", F.col("bucket") < F.col("last_bucket"))
+    return others.unionByName(edge).drop("last_bucket", "before")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> DataFrame:
     """Per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``copies``.
 
@@ -91,10 +118,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix"
     named = targets.withColumnRenamed("source", "name")
     joined = sizes.join(named, sizes["source"].eqNullSafe(named["name"])).drop("name")
 
-    fits = joined.groupBy("source").agg(F.sum(F.when(F.col("size") <= F.col("rest"), F.col("size"))).alias("fitting"))
+    small = F.when(F.col("size") <= F.col("rest"), F.col("size"))
+    # Whole numbers, so that the sums don't depend on the order of the rows.
+    square = (small.cast("decimal(14,0)") * small.cast("decimal(14,0)")).cast("decimal(28,0)")
+    fits = joined.groupBy("source").agg(
+        F.sum(small).alias("fitting"), F.sum(square).cast("double").alias("squares"), F.max(small).alias("largest")
+    )
     fits = land(fits, "fits").withColumnRenamed("source", "name")
     ready = joined.join(fits, joined["source"].eqNullSafe(fits["name"])).drop("name")
-    chance = F.least(F.try_divide("rest", "fitting"), F.lit(1 - 2.0**-20))
+    share = F.least(F.try_divide("rest", "fitting"), F.lit(1 - 2.0**-20))
+    # The word-weighted mean of the second factor is 0: the expected words stay those of the share.
+    above = F.try_divide("size", "largest") - F.try_divide("squares", F.col("fitting") * F.col("largest").cast("double"))
+    chance = share + share * (1 - share) * above
     drawn = uniform(F.lit(seed), F.col("source"), F.col("doc_id"))
     odds = F.try_divide(drawn * (1 - chance), (1 - drawn) * chance)
     fitting = (F.col("size") > 0) & (F.col("size") <= F.col("rest")) & (F.col("rest") > 0)
@@ -103,57 +138,37 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix"
         "bucket", F.floor(F.col("rank") * BUCKETS)
     )
 
-    by_bucket = ranked.where("bucket is not null").groupBy("source", "bucket").agg(
-        F.sum("size").alias("words"), F.first("rest").alias("rest")
-    )
-    upto = F.sum("words").over(Window.partitionBy("source").orderBy("bucket"))
-    border = (
-        by_bucket.withColumn("before", upto - F.col("words"))
-        .where(F.col("before") < F.col("rest"))
-        .groupBy(F.col("source").alias("name"))
-        .agg(F.max(F.struct("bucket", "before")).alias("last"))
-        .select("name", F.col("last.bucket").alias("last_bucket"), F.col("last.before").alias("before"))
-    )
-    border = land(border, "border")
-    placed = ranked.join(border, ranked["source"].eqNullSafe(border["name"]), "left").drop("name")
-    inside = F.col("bucket") == F.col("last_bucket")
-    within = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    reached = F.col("before") + F.sum("size").over(within)
-    edge = placed.where(inside).withColumn("extra", (reached <= F.col("rest")).cast("int"))
-    others = placed.where(~F.coalesce(inside, F.lit(False))).withColumn(
-        "extra", F.coalesce((F.col("bucket") < F.col("last_bucket")).cast("int"), F.lit(0))
-    )
-    drawn_rows = land(others.unionByName(edge), "drawn")
-
-    # What is left of the target is filled from the largest documents that fit; one more, of the
-    # nearest size, closes the last gap if that helps.
-    def with_gap(rows: DataFrame) -> DataFrame:
-        gaps = rows.groupBy(F.col("source").alias("name")).agg(
-            (F.first("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap")
+    ranked = land(ranked.drop("fitting", "squares", "largest"), "ranked")
+    free = ranked.where("bucket is not null").select("row", "source", "doc_id", "size", "rank", "bucket", "rest")
+    free = free.withColumnRenamed("rest", "gap")
+    taken: list[DataFrame] = []
+    # Every turn takes a document at least and ends before one that is larger than the new gap.
+    while not free.isEmpty():
+        drawn = land(first_that_fit(free), "drawn")
+        taken.append(drawn.where("taken").select("row"))
+        used = drawn.groupBy(F.col("source").alias("name")).agg(
+            (F.first("gap") - F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0))).alias("gap")
         )
-        gaps = land(gaps, "gaps")
-        free = rows.where("extra = 0 and rank is not null")
-        return free.join(gaps, free["source"].eqNullSafe(gaps["name"]))
+        used = land(used, "gaps")
+        left = drawn.where("not taken").drop("gap", "taken")
+        left = left.join(used, left["source"].eqNullSafe(used["name"])).drop("name")
+        free = land(left.where("size <= gap"), "free")
 
     def with_more(rows: DataFrame, more: DataFrame) -> DataFrame:
         added = F.col("extra") + F.coalesce("more", F.lit(0))
         return rows.join(more.select("row", F.lit(1).alias("more")), "row", "left").withColumn("extra", added).drop("more")
 
-    largest = Window.partitionBy("name").orderBy(F.desc("size"), "rank", "doc_id", "row")
-    filling = (
-        with_gap(drawn_rows)
-        .where("size <= gap")
-        .withColumn("place", F.row_number().over(largest))
-        .where(F.col("place") <= FILLERS)
-        .withColumn("filled", F.sum("size").over(largest.rowsBetween(Window.unboundedPreceding, 0)))
-        .where("filled <= gap")
+    filled = ranked.withColumn("extra", F.lit(0))
+    if taken:
+        filled = land(with_more(filled, reduce(DataFrame.unionByName, taken)), "filled")
+    gaps = filled.groupBy(F.col("source").alias("name")).agg(
+        (F.first("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap")
     )
-    filled = land(with_more(drawn_rows, filling), "filled")
+    gaps = land(gaps, "gaps")
+    unused = filled.where("extra = 0 and rank is not null")
     off = F.abs(F.col("size") - F.col("gap"))
     closing = (
-        with_gap(filled)
+        unused.join(gaps, unused["source"].eqNullSafe(gaps["name"]))
         .where(off < F.col("gap"))
         .groupBy("name")
         .agg(F.min(F.struct(off, "rank", "doc_id", "row")).alias("best"))

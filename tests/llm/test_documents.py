@@ -249,6 +249,16 @@ def test_mixing_reaches_its_targets(spark, edge_docs, edge_rows, no_docs):
     assert [r["taken"] for r in mixing.mix(blank).collect()] == [0, 0]
 
 
+def test_mixing_fills_the_gap_with_many_short_documents(spark):
+    """One very long document among short ones, whatever its place in the order."""
+    rows = [(k, "w " * 15, "s") for k in range(1500)] + [(2000, "w " * 10_000, "s")]
+    rows += [(3000 + k, "w " * 50, "t") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for k in range(4):
+        got = mixing.mix(docs, (1, 1), seed=f"seed{k}").where("source = 's'").collect()
+        assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 15
+
+
 # --- 8: personal data -------------------------------------------------------------------
 
 
