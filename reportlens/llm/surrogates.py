@@ -6,9 +6,10 @@ stay. Equal originals thus get equal surrogates in all documents (coreference),
 different surrogates (distinctness), without any table of entities. The permutation is one long
 cycle, so nothing maps to itself. Types keep what makes them valid: check digits of card and
 account numbers, the network of private addresses, the top-level domain of mail addresses, the
-gender of first names.
+gender of known first names, whatever the title.
 
-``collisions`` checks distinctness over all entities of a corpus.
+``collisions`` checks distinctness over all entities of a corpus; ``redrawn`` draws again for
+those that share a surrogate.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from functools import lru_cache
 from math import isqrt, prod
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import land
+
 KEY = b"reportlens surrogates"
 ROUNDS = 6
 
@@ -34,10 +37,20 @@ TITLES = {
 }
 FIRST_NAMES = {
     "m": ("James", "John", "Robert", "Michael", "David", "William", "Thomas", "Daniel", "Paul", "Mark",
-          "Hans", "Peter", "Karl", "Stefan", "Pierre", "Jean", "Louis", "Carlos", "Juan", "Pedro"),
+          "Hans", "Peter", "Karl", "Stefan", "Pierre", "Louis", "Carlos", "Juan", "Pedro"),
     "f": ("Mary", "Linda", "Susan", "Sarah", "Karen", "Emma", "Anna", "Laura", "Julia", "Alice",
           "Greta", "Monika", "Sabine", "Marie", "Claire", "Sophie", "Camille", "Carmen", "Lucia", "Elena"),
+    # Names of men and women.
+    "u": ("Jean", "Robin", "Kim", "Alex", "Dominique", "Sam", "Andrea", "Claude"),
 }
+POOL_OF = {name: gender for gender, names in FIRST_NAMES.items() for name in names}
+#: Country codes of one and two digits; all others have three.
+SHORT_CODES = {"0", "1", "7"} | set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66"
+    " 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+#: Times that a surrogate is drawn at most.
+DRAWS = 64
 RESERVED = ("example.com", "example.net", "example.org", "example", "test", "invalid", "localhost")
 
 #: Letters that replace each other; all other letters go by blocks of code points.
@@ -149,9 +162,8 @@ def card(text: str) -> str:
 
 def phone(text: str) -> str:
     """The country code stays; equal numbers in other formats get equal digits."""
-    code = re.match(r"\+([0-9]{1,3})(?=[ .-]|\()", text)
     digits = digits_of(text)
-    kept = code[1] if code else ""
+    kept = next((digits[:n] for n in (1, 2) if digits[:n] in SHORT_CODES), digits[:3]) if text.startswith("+") else ""
     return with_digits(text, kept + by_shape(digits[len(kept) :], f"phone{kept}"))
 
 
@@ -205,19 +217,30 @@ def secret(text: str) -> str:
     return by_shape(text, "secret")
 
 
-def person(names: str, gender: str) -> str:
-    """Known first names become first names of the gender; other names change by shape."""
-    known = FIRST_NAMES["m"] + FIRST_NAMES["f"]
+def person(names: str) -> str:
+    """Known first names become first names of the same pool, wherever they stand; other names
+    change by shape. Each name has one surrogate and each surrogate one name."""
     out = []
-    for k, name in enumerate(names.split(" ")):
-        if k == 0 and " " in names and name in known:
-            pool = FIRST_NAMES["m" if name in FIRST_NAMES["m"] else "f"]
-            out.append(pool[cycle(pool.index(name), len(pool), f"first{gender}".encode())])
+    for name in names.split(" "):
+        if name in POOL_OF:
+            pool = FIRST_NAMES[POOL_OF[name]]
+            out.append(pool[cycle(pool.index(name), len(pool), f"first{POOL_OF[name]}".encode())])
         else:
-            out.append(by_shape(name, "name", lambda x: x not in known))
+            out.append(by_shape(name, "name", lambda x: x not in POOL_OF))
     return " ".join(out)
 
 
+SURROGATES = {
+    "mail": mail, "phone": phone, "ip": address, "iban": account, "ssn": ssn, "card": card,
+    "secret": secret, "person": person,
+}
+
+
+def plain(kind: str, value: str) -> str:
+    """The value without the case of mail and the format of numbers."""
+    return value.lower() if kind == "mail" else value if kind in ("secret", "person", "ip") else re.sub(r"[^0-9A-Za-z+]", "", value)
+
+
 NUMBERS = re.compile(
     r"(?P<phone>(?<![\w.])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)"
     r"|(?<![\w.+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-]))"
@@ -238,45 +261,52 @@ PERSON = re.compile(
 TITLE_STARTS = tuple(f"{t}{end}" for t in TITLES for end in (" ", ". "))
 
 
-def entities(text: str) -> list[tuple[int, int, str, str]]:
-    """(begin, end, kind, surrogate) of what is found, in order and without overlaps."""
-    found: list[tuple[int, int, str, str]] = []
+def entities(text: str, draws: dict[tuple[str, str], int] | None = None) -> list[tuple[int, int, str, str]]:
+    """(begin, end, kind, surrogate) of what is found, in order and without overlaps.
+
+    ``draws`` has the kinds and plain values whose surrogate is drawn more often than once: the
+    surrogate's surrogate, and so on, which has the same type and format.
+    """
+    found: list[tuple[int, int, str]] = []
     at = text.find("@")
     while at >= 0:
         local, host = LOCAL.search(text[max(0, at - 128) : at]), HOST.match(text, at + 1)
         if local and host and (value := local[0].lstrip(".")):
             begin = at - len(value)
-            found.append((begin, host.end(), "mail", mail(text[begin : host.end()])))
+            found.append((begin, host.end(), "mail"))
         at = text.find("@", at + 1)
     if "=" in text or ":" in text:
-        found += [(*m.span(1), "secret", secret(m[1])) for m in SECRET.finditer(text)]
+        found += [(*m.span(1), "secret") for m in SECRET.finditer(text)]
     if MANY_DIGITS.search(text):
         for m in NUMBERS.finditer(text):
             kind, value = m.lastgroup, m[0]
             if kind == "phone":
                 if 8 <= len(digits_of(value)) <= 15:
-                    found.append((*m.span(), kind, phone(value)))
+                    found.append((*m.span(), kind))
             elif kind == "ip":
                 octets = list(map(int, value.split(".")))
                 if max(octets) < 256 and octets[0] not in (0, 127):
-                    found.append((*m.span(), kind, address(value)))
+                    found.append((*m.span(), kind))
             elif kind == "iban":
-                plain = value.replace(" ", "")
-                if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
-                    found.append((*m.span(), kind, account(value)))
+                packed = value.replace(" ", "")
+                if int("".join(str(int(c, 36)) for c in packed[4:] + packed[:4])) % 97 == 1:
+                    found.append((*m.span(), kind))
             elif kind == "ssn":
                 if value[:3] not in ("000", "666") and value[0] != "9" and value[4:6] != "00" and value[7:] != "0000":
-                    found.append((*m.span(), kind, ssn(value)))
+                    found.append((*m.span(), kind))
             elif luhn(digits_of(value)):
-                found.append((*m.span(), "card", card(value)))
+                found.append((*m.span(), "card"))
     if any(t in text for t in TITLE_STARTS):
-        found += [(*m.span(2), "person", person(m[2], TITLES[m[1]])) for m in PERSON.finditer(text)]
+        found += [(*m.span(2), "person") for m in PERSON.finditer(text)]
     found.sort()
     out, end = [], 0
     for x in found:
         if x[0] >= end:
-            out.append(x)
-            end = x[1]
+            begin, end, kind = x
+            value = text[begin:end]
+            for _ in range(draws.get((kind, plain(kind, value)), 1) if draws else 1):
+                value = SURROGATES[kind](value)
+            out.append((begin, end, kind, value))
     return out
 
 
@@ -288,27 +318,34 @@ def replaced(text: str, found: list[tuple[int, int, str, str]]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def with_surrogates(docs: DataFrame, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def with_surrogates(
+    docs: DataFrame, text_col: str = "text", count_col: str | None = None, draws_col: str | None = None
+) -> DataFrame:
     """``docs`` with surrogates in ``text_col``; ``count_col``, if given, is added and holds the
-    number of replacements.
+    number of replacements. ``draws_col``, if given, holds an array of kind, original and draws
+    of a row's entities, as ``redrawn`` finds them, and is left out.
 
     Null and empty texts stay as they are; all other columns, rows and repeated rows are kept;
     texts without entities don't change by a byte. Entities are mail addresses, phone, card,
     account and social security numbers, IPv4 addresses, secrets after a telling name, and
     persons after a title. Numbers with a wrong check digit are no cards or accounts.
     """
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != draws_col)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
-            for value in batch.column(place):
+            more = batch.column(draws_col) if draws_col else [None] * len(batch)
+            for value, drawn in zip(batch.column(place), more):
                 text = value.as_py()
-                found = entities(text) if text else []
+                draws = {(d["kind"], d["original"]): d["draws"] for d in drawn.as_py() or ()} if draws_col else None
+                found = entities(text, draws) if text else []
                 texts.append(replaced(text, found) if found else text)
                 counts.append(len(found))
             out = batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+            if draws_col:
+                out = out.drop_columns([draws_col])
             yield out.append_column(count_col, pa.array(counts, pa.int64())) if count_col else out
 
     return docs.mapInArrow(run, f"{kinds}, `{count_col}` long" if count_col else kinds)
@@ -318,9 +355,6 @@ def all_entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct ``kind``, ``original``, ``surrogate`` of a corpus; case of mail and format of
     numbers are taken away."""
 
-    def plain(kind: str, value: str) -> str:
-        return value.lower() if kind == "mail" else value if kind in ("secret", "person", "ip") else re.sub(r"[^0-9A-Za-z+]", "", value)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = {
@@ -341,3 +375,60 @@ def collisions(found: DataFrame) -> DataFrame:
     return found.groupBy("kind", "surrogate").agg(
         F.count_distinct("original").alias("n"), F.max((F.col("original") == F.col("surrogate")).cast("int")).alias("same")
     ).where("n > 1 or same = 1")
+
+
+def redrawn(found: DataFrame) -> DataFrame | None:
+    """``kind``, ``original``, ``draws`` of those of ``all_entities`` whose surrogate has to be drawn
+    more often than once so that all differ; None if there are none. Landed.
+
+    Of the originals of one surrogate the first keeps it: that with the fewest draws, then the
+    smallest. The others take the surrogate of their surrogate, turn by turn.
+    """
+    if collisions(found).isEmpty():
+        return None
+    table = land(found.withColumn("draws", F.lit(1)), "entities")
+    first = Window.partitionBy("kind", "surrogate").orderBy(F.col("original") == F.col("surrogate"), "draws", "original")
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, values = batch.column("kind").to_pylist(), batch.column("surrogate").to_pylist()
+            new = [plain(kind, SURROGATES[kind](value)) for kind, value in zip(kinds, values)]
+            yield batch.set_column(batch.schema.get_field_index("surrogate"), "surrogate", pa.array(new, pa.string()))
+
+    for _ in range(DRAWS):
+        placed = table.withColumn("nth", F.row_number().over(first))
+        placed = land(placed.withColumn("fine", (F.col("nth") == 1) & (F.col("original") != F.col("surrogate"))), "placed")
+        wrong = placed.where("not fine").select("kind", "original", "surrogate", F.expr("draws + 1").cast("int").alias("draws"))
+        if wrong.isEmpty():
+            return land(table.where("draws > 1").select("kind", "original", "draws"), "draws")
+        fine = placed.where("fine").select(wrong.columns)
+        table = land(fine.unionByName(wrong.mapInArrow(again, wrong.schema)), "entities")
+    raise RuntimeError(f"entities share a surrogate after {DRAWS} draws")
+
+
+def distinct_surrogates(docs: DataFrame, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``with_surrogates`` after a check over all entities: no two of them share a surrogate."""
+    draws = redrawn(all_entities(docs, text_col))
+    if draws is None:
+        return with_surrogates(docs, text_col, count_col)
+    numbered = land(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (row, *entity)
+                for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                if text
+                for entity in {(kind, plain(kind, text[a:b])) for a, b, kind, _ in entities(text)}
+            ]
+            row, kind, original = zip(*rows) if rows else ((), (), ())
+            columns = [pa.array(row, pa.int64()), pa.array(kind, pa.string()), pa.array(original, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["__row", "kind", "original"])
+
+    held = numbered.select("__row", text_col).mapInArrow(run, "__row long, kind string, original string")
+    per_row = (
+        held.join(draws, ["kind", "original"])
+        .groupBy("__row")
+        .agg(F.collect_list(F.struct("kind", "original", "draws")).alias("__draws"))
+    )
+    return with_surrogates(numbered.join(per_row, "__row", "left").drop("__row"), text_col, count_col, "__draws")

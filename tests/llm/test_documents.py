@@ -291,6 +291,37 @@ def test_surrogates_are_consistent_distinct_and_valid(spark):
     assert out[307]["text"] == texts[307] and out[307]["n_entities"] == 0
 
 
+def test_names_and_phones_stay_distinct_and_equal():
+    names = [n for pool in surrogates.FIRST_NAMES.values() for n in pool] + ["Xavier", "Bo"]
+    people = [f"{first} Smith" for first in names] + names
+    found = {(title, n): surrogates.entities(f"{title} {n}")[0][3] for n in people for title in surrogates.TITLES}
+    assert len({(n, x) for (_, n), x in found.items()}) == len(set(found.values())) == len(people)
+    forms = ["+15551234567", "+1 555 123 4567", "+1 (555) 123-4567", "+1555 123 4567"]
+    assert len({surrogates.plain("phone", surrogates.entities(f"call {x} now")[0][3]) for x in forms}) == 1
+    assert all(surrogates.phone(x).startswith(x[:3]) for x in ("+493012345678", "+442012345678"))
+
+
+def test_colliding_surrogates_are_drawn_again(spark):
+    """Account numbers that differ only in equivalent check digits (01, 98) have one first surrogate."""
+    import corpus_pipeline
+
+    bodies = [f"37040044053201{k:04}" for k in range(400)]
+    bodies = [b for b in bodies if int(f"{b}131400") % 97 == 0]
+    ibans = [f"DE{check}{b}" for b in bodies for check in ("01", "98")]
+    assert len(ibans) > 6 and surrogates.account(ibans[0]) == surrogates.account(ibans[1])
+    rows = [(k, f"from {ibans[k % len(ibans)]} to {ibans[7 * k % len(ibans)]} now") for k in range(40)] + [(40, None), (41, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for out in (surrogates.distinct_surrogates(docs), corpus_pipeline.pii(spark, docs, "")):
+        made = defaultdict(set)
+        got = {r["doc_id"]: r["text"] for r in out.collect()}
+        assert out.columns == docs.columns and len(got) == len(rows) and got[40] is None and got[41] == "a"
+        for k, text in rows[:40]:
+            for old, new in zip(text.split(" ")[1::2], got[k].split(" ")[1::2]):
+                made[old].add(new)
+        assert all(len(x) == 1 and a not in x for a, x in made.items())
+        assert len(set.union(*made.values())) == len(made) == len(ibans)
+
+
 def test_cycle_is_a_permutation_without_fixed_points():
     for size in (2, 3, 10, 97, 1000):
         image = [surrogates.cycle(x, size, b"t") for x in range(size)]
