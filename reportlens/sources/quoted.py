@@ -9,8 +9,8 @@ a border, at most one per split, are put together by a shuffle, which is left ou
 scan, if there are none.
 
 All scans must cut the files alike. Spark sizes the splits of small inputs by the number of cores,
-so cores that come or go between scans can change the cut: then a split has no state, which is
-an error, not a loss of rows.
+so cores that come or go between scans can change the cut: then a split has no state, or one of
+another length, which is an error, not a loss of rows.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ FRESH_LINE = re.compile(rf"{FIELD}(?:,{FIELD})*+")
 CONTINUED_LINE = re.compile(rf'(?:[^"]++|"")*+"[^,]*+(?:,{FIELD})*+')
 
 SPLIT = ["file", "split_start"]
+LOCATED = "file bigint, split_start bigint, line bigint, record string"
 NOT_HERE = 2**60
 MAX_RECORD_BYTES = 2**31 - 1  # a longer one does not fit a Spark string
 BROADCAST_SPLITS = 2**20  # states of some 60 bytes each
@@ -85,7 +86,14 @@ def split_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for key, run in split_runs(batches):
         line = run["line"][0].as_py()
         split = found.setdefault(
-            key, {"first": line, "end": [False, True], "tail": [line, NOT_HERE], "head": NOT_HERE}
+            key,
+            {
+                "length": run["length"][0].as_py(),
+                "first": line,
+                "end": [False, True],
+                "tail": [line, NOT_HERE],
+                "head": NOT_HERE,
+            },
         )
         same = split["end"][0] == split["end"][1]
         for start in (0, 1):
@@ -98,11 +106,11 @@ def split_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     split["head"] = line + int(closed[0]) + 1
             split["end"][start] = bool(after[-1])
     rows = [
-        (*key, split["first"], *map(int, split["end"]), *split["tail"], split["head"])
+        (*key, split["length"], split["first"], *map(int, split["end"]), *split["tail"], split["head"])
         for key, split in found.items()
     ]
     if rows:
-        names = [*SPLIT, "first", "end_outside", "end_inside", "tail_outside", "tail_inside", "head"]
+        names = [*SPLIT, "length", "first", "end_outside", "end_inside", "tail_outside", "tail_inside", "head"]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
 
@@ -115,30 +123,37 @@ def check_header(record: str, names: Sequence[str]) -> None:
 def whole_records(
     batches: Iterator[pa.RecordBatch], names: Sequence[str]
 ) -> Iterator[pa.RecordBatch]:
-    """Join the lines of each record; ``batches`` hold only records that end in their split."""
+    """Join the lines of each record; ``batches`` hold only records that end in their split.
+
+    A record is located by its file, its split and its first line.
+    """
     current, header, pending = None, False, None
     for key, run in split_runs(batches):
         if key != current:
             current, header, pending = key, key[1] == 0, run["value"].slice(0, 0)
+        at = run["line"][0].as_py() - len(pending)
         after = states_after(run["value"], len(pending) > 0)
         ends = np.flatnonzero(~np.concatenate([np.ones(len(pending), bool), after])) + 1
         lines = pa.concat_arrays([pending, run["value"]])
         last = int(ends[-1]) if len(ends) else 0
         bounds = pa.array([0, *ends], pa.int32())
         records = pc.binary_join(pa.ListArray.from_arrays(bounds, lines.slice(0, last)), "\n")
+        starts = pa.array(at + np.concatenate([[0], ends])[: len(ends)], pa.int64())
         pending = lines.slice(last)
         if header and len(records):
             check_header(records[0].as_py(), names)
-            records, header = records.slice(1), False
-        yield pa.RecordBatch.from_arrays([records], names=["record"])
+            records, starts, header = records.slice(1), starts.slice(1), False
+        place = [pa.array(np.full(len(records), k), pa.int64()) for k in key]
+        yield pa.RecordBatch.from_arrays([*place, starts, records], names=[*SPLIT, "line", "record"])
 
 
 def split_states(lines: DataFrame) -> DataFrame:
-    """One row per split: ``first`` line, and ``head`` to ``tail``, the lines of its whole records;
-    ``crossed`` unless these are all its lines."""
+    """One row per split: its ``length`` and ``first`` line, and ``head`` to ``tail``, the lines of its
+    whole records; ``crossed`` unless these are all its lines. ``begun`` is the split where the
+    record begins that this split starts in."""
     names = "end_outside", "end_inside", "tail_outside", "tail_inside", "head"
     ends = lines.mapInArrow(
-        split_ends, ", ".join(f"{name} bigint" for name in (*SPLIT, "first", *names))
+        split_ends, ", ".join(f"{name} bigint" for name in (*SPLIT, "length", "first", *names))
     )
     outside, inside = F.col("end_outside"), F.col("end_inside")
     fixed, flips = outside == inside, (outside > inside).cast("bigint")
@@ -155,19 +170,25 @@ def split_states(lines: DataFrame) -> DataFrame:
     opened = F.when(~starts_inside | (F.col("head") < NOT_HERE), F.col("split_start"))
     too_long = F.col("split_start") - F.last(opened, ignorenulls=True).over(so_far) > MAX_RECORD_BYTES
     head = F.when(too_long, F.raise_error("a quoted CSV field does not end")).otherwise(F.col("head"))
+    tail = (
+        F.when(~F.col("crossed"), F.lit(NOT_HERE))
+        .when(starts_inside, F.col("tail_inside"))
+        .otherwise(F.col("tail_outside"))
+    )
+    begins_one = F.when(F.col("tail") < NOT_HERE, F.col("split_start"))
     return (
         counted.withColumn("start", start % 2)
         .withColumn("head", head)
         .withColumn("crossed", starts_inside | (outside == 1))
+        .withColumn("tail", tail)
         .select(
             *SPLIT,
+            "length",
             "first",
             F.when(starts_inside, F.col("head")).otherwise(F.lit(0)).alias("head"),
-            F.when(~F.col("crossed"), F.lit(NOT_HERE))
-            .when(starts_inside, F.col("tail_inside"))
-            .otherwise(F.col("tail_outside"))
-            .alias("tail"),
+            "tail",
             "crossed",
+            F.last(begins_one, ignorenulls=True).over(before).alias("begun"),
         )
     )
 
@@ -175,27 +196,34 @@ def split_states(lines: DataFrame) -> DataFrame:
 def crossing_records(placed: DataFrame) -> DataFrame:
     """The records that lie in several splits. A record is known by the split it starts in."""
     line, head, tail = F.col("line"), F.col("head"), F.col("tail")
-    order = Window.partitionBy("file").orderBy("split_start", "line")
+    begun = F.when(line < head, F.col("begun")).otherwise(F.col("split_start"))
     return (
         placed.where(F.col("crossed") & ((line < head) | (line >= tail)))
-        .withColumn("number", F.sum((line == tail).cast("int")).over(order))
+        .withColumn("begun", begun)
         .withColumn("is_header", (F.col("split_start") == 0) & (line == F.col("first")))
-        .groupBy("file", "number")
+        .groupBy("file", "begun")
         .agg(
             F.sort_array(F.collect_list(F.struct("split_start", "line", "value"))).alias("parts"),
             F.max("is_header").alias("is_header"),
+            F.min(F.struct("split_start", line - F.col("first"))).alias("place"),
         )
         .where(~F.col("is_header"))
-        .select(F.array_join("parts.value", "\n").alias("record"))
+        .select(
+            "file",
+            F.col("begun").alias("split_start"),
+            F.col("place.col2").alias("line"),
+            F.array_join("parts.value", "\n").alias("record"),
+        )
     )
 
 
-def read_quoted(
-    spark: SparkSession, paths: Sequence[str], options: Mapping[str, str], mode: str
-) -> DataFrame:
-    """All columns of the files as text, named by the header of the first file.
+def quoted_records(
+    spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]
+) -> tuple[list[str], DataFrame]:
+    """The header's names, and one row per record: its raw text and where it begins.
 
-    Runs the first scan at once.
+    ``file`` is the hash of the path, ``split_start`` the split's first byte, ``line`` the line
+    within the split. Runs the first scan at once.
     """
     paths = list(paths)
     scratch = scratch_path(spark, "csv-states")
@@ -203,33 +231,41 @@ def read_quoted(
     lines = text_lines(spark, paths).select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),
+        F.col("_metadata.file_block_length").alias("length"),
         # Counts the lines of a task: consecutive within a split, the same in every scan.
         F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("line"),
         F.make_valid_utf8("value").alias("value"),
     )
     found = split_states(lines)
     found.write.parquet(scratch)
-    states = spark.read.schema(found.schema).parquet(scratch)
+    states = spark.read.schema(found.schema).parquet(scratch).withColumnRenamed("length", "known_length")
     known = states.agg(F.count("*"), F.sum(F.col("crossed").cast("int"))).first()
     if known[0] <= BROADCAST_SPLITS:
         states = F.broadcast(states)
+    # Every later use of a state goes through the check, so no filter can drop an unmatched line first.
+    lost = F.raise_error(F.lit("the files were cut differently by two scans")).cast("bigint")
+    same_cut = F.col("known_length") == F.col("length")
+    checked = [F.when(same_cut, F.col(n)).otherwise(lost).alias(n) for n in ("first", "head", "tail")]
+    placed = lines.join(states, SPLIT, "left").select(
+        *SPLIT, "line", "value", *checked, F.when(same_cut, F.col("crossed")).otherwise(lost == 0).alias("crossed"), "begun"
+    )
     line, head, tail = F.col("line"), F.col("head"), F.col("tail")
-    lost = F.raise_error(F.lit("the files were cut differently by two scans"))
-    placed = lines.join(states, SPLIT, "left").withColumn("tail", F.coalesce(tail, lost.cast("bigint")))
     whole = (
         placed.where((line >= head) & (line < tail))
-        .select(*SPLIT, "value")
-        .mapInArrow(partial(whole_records, names=header), "record string")
+        .select(*SPLIT, (line - F.col("first")).alias("line"), "value")
+        .mapInArrow(partial(whole_records, names=header), LOCATED)
     )
-    if known[1]:
-        whole = whole.unionByName(crossing_records(placed))
+    records = whole.unionByName(crossing_records(placed)) if known[1] else whole
     record = F.col("record")
     record = F.when(record.endswith("\r"), F.rtrim(record, F.lit("\r"))).otherwise(record)
+    return header, records.withColumn("record", record).where(F.trim("record") != "")
+
+
+def read_quoted(
+    spark: SparkSession, paths: Sequence[str], options: Mapping[str, str], mode: str
+) -> DataFrame:
+    """All columns of the files as text, named by the header of the first file."""
+    header, records = quoted_records(spark, paths, options)
     schema = ", ".join(f"`{name}` string" for name in header)
     parser = {**options, "mode": mode, "header": "false", "multiLine": "true"}
-    return (
-        whole.select(record.alias("record"))
-        .where(F.trim("record") != "")
-        .select(F.from_csv("record", schema, parser).alias("fields"))
-        .select("fields.*")
-    )
+    return records.select(F.from_csv("record", schema, parser).alias("fields")).select("fields.*")

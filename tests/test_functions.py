@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from reportlens.functions import columns as C

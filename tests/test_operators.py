@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from conftest import close, rows
+from comparing import close, rows
 from pyspark.sql import functions as F
 
 from reportlens.operators import allocate as alloc

@@ -5,7 +5,7 @@ import re
 from contextlib import contextmanager, redirect_stdout
 
 import pytest
-from conftest import close, rows
+from comparing import close, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import close, rows
+from comparing import close, rows
 
 from reportlens.operators.analyses import (
     manufacturer_totals,
