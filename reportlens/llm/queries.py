@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, likelihood, mixing, packing, postings, quality, suffixes, surrogates, threshold, warc
+from . import (
+    jaccard,
+    ledger,
+    likelihood,
+    mixing,
+    packing,
+    postings,
+    prefix_trie,
+    quality,
+    resampling,
+    suffixes,
+    surrogates,
+    threshold,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +79,18 @@ def op10_threshold_top_k(spark, sf_dir):
     return threshold.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_blob_ledger(spark, sf_dir):
+    return ledger.secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -76,6 +102,9 @@ QUERIES: dict[str, Query] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_recurrent_lm": op9_recurrent_lm,
     "op10_threshold_top_k": op10_threshold_top_k,
+    "op11_resampling": op11_resampling,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_blob_ledger": op13_blob_ledger,
 }
 
 ORACLE: dict[str, str] = {
