@@ -1,17 +1,25 @@
-"""Time-partitioned datasources described by a declarative spec."""
+"""Time-partitioned datasources described by a declarative spec.
+
+A load writes its segments to a folder of its own; a manifest, written last as one file, says which
+load holds each segment. Readers go by the latest manifest, so a load that breaks off midway, or
+one under way, changes nothing for them.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import EPOCH, iso_timestamp
 from ..operators.analyses import METRIC_TYPES, aggregate_metrics
 from ..rules import NDJSON_SUFFIX, OUTPUT_STEMS
-from .files import path_exists, read_ndjson
+from .files import file_sizes, path_exists, read_ndjson
 
 TIME = "__time"
 
@@ -20,6 +28,14 @@ def long_sum(name: str, source: str | None = None) -> dict[str, str]:
     return {"name": name, "type": "longSum", "fieldName": source or name}
 
 
+def distinct_sketch(name: str, source: str | None = None) -> dict[str, str]:
+    return {"name": name, "type": "HLLSketchBuild", "fieldName": source or name}
+
+
+def quantile_sketch(name: str, source: str | None = None) -> dict[str, str]:
+    return {"name": name, "type": "quantilesDoublesSketch", "fieldName": source or name}
+
+
 def double_sum(name: str, source: str | None = None) -> dict[str, str]:
     return {"name": name, "type": "doubleSum", "fieldName": source or name}
 
@@ -125,6 +141,20 @@ def datasource_rows(
     )
 
 
+MANIFEST = "segment string, load string, schema string"
+
+
+def latest_manifest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
+    """Number and rows of the latest complete manifest: the load of each segment, and a row without
+    segment for the schema."""
+    files = f"{path}/manifests/*/*.parquet"
+    if not path_exists(spark, files):
+        return 0, None
+    name = F.regexp_extract("path", "manifests/([^/]+)/", 1)
+    last = file_sizes(spark, files).agg(F.max(name)).first()[0]
+    return int(last.split("-")[0]), spark.read.schema(MANIFEST).parquet(f"{path}/manifests/{last}")
+
+
 def ingest_datasource(
     df: DataFrame,
     spec: DatasourceSpec,
@@ -138,15 +168,21 @@ def ingest_datasource(
     ``df``. The rebalance hint gathers each segment into few files and lets AQE split a
     segment that is much larger than the others.
     """
-    overwrite = {"all": "static", "touched": "dynamic"}[replace]
-    (
-        datasource_rows(df, spec, time_type)
-        .hint("rebalance", spec.segment)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy(spec.segment)
-        .parquet(path)
-    )
+    if replace not in ("all", "touched"):
+        raise ValueError(f"replace is 'all' or 'touched', not {replace!r}")
+    spark = df.sparkSession
+    rows = datasource_rows(df, spec, time_type)
+    number, earlier = latest_manifest(spark, path)
+    load, folder = uuid.uuid4().hex, f"{path}/loads"
+    rows.hint("rebalance", spec.segment).write.partitionBy(spec.segment).parquet(f"{folder}/load={load}")
+    stored = spark.read.schema(rows.schema).option("basePath", folder).parquet(f"{folder}/load={load}")
+    # One row per day or month.
+    held = [(row[0], load, "") for row in stored.select(spec.segment).distinct().collect()]
+    if earlier is not None and replace == "touched":
+        new = {segment for segment, _, _ in held}
+        held += [tuple(row) for row in earlier.collect() if row.segment is not None and row.segment not in new]
+    manifest = spark.createDataFrame([*held, (None, load, rows.schema.json())], MANIFEST)
+    manifest.coalesce(1).write.parquet(f"{path}/manifests/{number + 1:09}-{load}")
 
 
 def ingest_files(
@@ -161,11 +197,16 @@ def ingest_files(
 
 
 def read_datasource(spark: SparkSession, spec: DatasourceSpec, path: str) -> DataFrame:
-    """A stored datasource. The segment is read as text, whatever it looks like."""
-    stored = spark.read.parquet(path)
-    return stored.withColumn(
-        spec.segment, F.date_format(F.col(spec.segment).cast("timestamp"), SEGMENT_FORMATS[spec.segment])
-    ) if dict(stored.dtypes)[spec.segment] != "string" else stored
+    """A stored datasource as its latest complete load left it. The segment is text."""
+    _, manifest = latest_manifest(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"{path} holds no complete load")
+    rows = manifest.collect()
+    schema = StructType.fromJson(json.loads(next(row.schema for row in rows if row.segment is None)))
+    folders = [f"{path}/loads/load={row.load}/{spec.segment}={row.segment}" for row in rows if row.segment is not None]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{path}/loads").parquet(*folders).drop("load")
 
 
 def since(df: DataFrame, moment: str, segment: str = "day") -> DataFrame:
