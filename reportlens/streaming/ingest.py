@@ -2,35 +2,44 @@
 
 The three tables arrive separately and a symptom row may come long after its report, so
 there is no event time to join on. A file stream therefore only lands new files, each once,
-as Parquet batches. ``refresh`` then recomputes the ids that the new batches mention, once
-without and once with the new rows, and adds the difference to the stored tally. Late rows
-are correct however late they are, and nothing needs a watermark.
-
-Every step can be repeated: a batch replaces its own folder, and a tally version counts only
-after its list of included batches is written.
+as Parquet batches, whose rows lie in buckets by the hash of their id. All rows of an id are in one
+bucket of each batch, so the tally of a bucket needs no other bucket. ``refresh`` reads only the
+buckets in which new rows fell, tallies each of them anew and leaves the others' tallies as they
+are. Late rows are correct however late they are, and nothing needs a watermark.
+
+Every step can be repeated: a batch replaces its own folder, and a version counts only after its
+manifest is written, one file that says which batches it includes and which version holds each
+bucket's tally.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.analyses import MEASURES, report_tally
-from ..operators.curate import keep_members
-from ..plans.run import land
 from ..rules import DEFAULT_RULES, Rules
-from ..sources.files import path_exists, read_csv
+from ..sources.files import file_sizes, path_exists, read_csv
 
 KINDS = ("reports", "symptoms", "vaccines")
 TALLY_KEYS = ("manufacturer", "symptom", "age_group")
+#: Buckets of ids. A store keeps the number it was begun with; large ones should begin with more.
+BUCKETS = 64
+BUCKET = "id_bucket"
+MANIFEST = "version bigint, kind string, batch bigint, bucket int, tally_version string"
 
 
 def schemas(rules: Rules) -> dict[str, dict[str, str]]:
     return dict(zip(KINDS, (rules.report_schema, rules.symptom_schema, rules.vaccine_schema)))
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The bucket of an id; rows without an id are in bucket 0."""
+    return F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"), F.lit(0))
+
+
 def land_new_files(
     spark: SparkSession,
     source: str,
@@ -39,11 +48,13 @@ def land_new_files(
     rules: Rules = DEFAULT_RULES,
     mode: str = "FAILFAST",
     files_per_batch: int = 1000,
+    buckets: int = BUCKETS,
 ) -> None:
     """Land the files of ``source`` that no earlier call has landed, then return.
 
     The stream hands over file names only, at most ``files_per_batch`` at a time; executors
-    read the contents through the same CSV reader as a batch run.
+    read the contents through the same CSV reader as a batch run. The rebalance hint gathers
+    each bucket into few files and lets AQE split one that an id dominates.
     """
     schema = schemas(rules)[kind]
 
@@ -51,7 +62,9 @@ def land_new_files(
         paths = [row.path for row in batch.select("path").collect()]
         if paths:
             rows = read_csv(batch.sparkSession, paths, schema, mode)
-            rows.write.mode("overwrite").parquet(f"{store}/{kind}/batch={batch_id}")
+            bucketed = rows.withColumn(BUCKET, bucket_of(F.col(rules.id_col), buckets))
+            out = bucketed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+            out.parquet(f"{store}/{kind}/batch={batch_id}")
 
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -73,24 +86,63 @@ def land_new_files(
 
 def landed(spark: SparkSession, store: str, kind: str) -> DataFrame | None:
     path = f"{store}/{kind}"
-    if not path_exists(spark, f"{path}/batch=*"):
+    if not path_exists(spark, f"{path}/batch=*/{BUCKET}=*/*.parquet"):
         return None
     return spark.read.option("basePath", path).parquet(f"{path}/batch=*")
 
 
-def versions(spark: SparkSession, store: str) -> DataFrame | None:
-    """Batches included in each stored tally version."""
-    path = f"{store}/included"
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+def latest_manifest(spark: SparkSession, store: str) -> DataFrame | None:
+    """The last complete manifest: the batches it includes, and each bucket's tally version."""
+    files = f"{store}/manifests/*/*.parquet"
+    if not path_exists(spark, files):
+        return None
+    last = file_sizes(spark, files).agg(F.max(F.regexp_extract("path", "manifests/([^/]+)/", 1))).first()[0]
+    return spark.read.schema(MANIFEST).parquet(f"{store}/manifests/{last}")
+
+
+def version(spark: SparkSession, store: str) -> int:
+    """How often the tally was refreshed."""
+    manifest = latest_manifest(spark, store)
+    return 0 if manifest is None else manifest.agg(F.max("version")).first()[0]
+
+
+def bucket_tallies(spark: SparkSession, store: str, held: dict[int, str]) -> DataFrame | None:
+    """The tallies of the given buckets, each from the version that holds it."""
+    folders = [f"{store}/tally/version={v}/{BUCKET}={bucket}" for bucket, v in sorted(held.items())]
+    if not folders:
+        return None
+    return spark.read.option("basePath", f"{store}/tally").parquet(*folders).drop("version")
+
+
+def tally_schema() -> str:
+    sums = ", ".join(f"{name} {'double' if name == 'age_sum' else 'bigint'}" for name in MEASURES)
+    return f"{', '.join(f'{name} string' for name in TALLY_KEYS)}, {sums}"
 
 
 def read_tally(spark: SparkSession, store: str) -> DataFrame | None:
-    """The latest complete tally."""
-    known = versions(spark, store)
-    if known is None:
+    """The tally over all buckets as of the last refresh."""
+    manifest = latest_manifest(spark, store)
+    if manifest is None:
         return None
-    version = known.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{store}/tally/version={version}")
+    held = {row.bucket: row.tally_version for row in manifest.where("bucket is not null").collect()}
+    tallies = bucket_tallies(spark, store, held)
+    if tallies is None:
+        return spark.createDataFrame([], tally_schema())
+    return tallies.groupBy(*TALLY_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+def batches_of(df: DataFrame) -> set[int]:
+    return {row.batch for row in df.select("batch").distinct().collect()}
+
+
+def rows_to_tally(tables: dict[str, DataFrame], fresh: dict[str, set[int]]) -> tuple[list[int], dict[str, DataFrame]]:
+    """The buckets that the fresh batches touch, and all rows in them; other buckets aren't read."""
+    touched: set[int] = set()
+    for kind, df in tables.items():
+        new = df.where(F.col("batch").isin(sorted(fresh[kind])))
+        touched |= {row[0] for row in new.select(BUCKET).distinct().collect()}  # at most a row per bucket
+    buckets = sorted(touched)
+    return buckets, {kind: df.where(F.col(BUCKET).isin(buckets)) for kind, df in tables.items()}
 
 
 def refresh(spark: SparkSession, store: str, rules: Rules = DEFAULT_RULES) -> DataFrame | None:
@@ -101,52 +153,26 @@ def refresh(spark: SparkSession, store: str, rules: Rules = DEFAULT_RULES) -> Da
     tables = {kind: landed(spark, store, kind) for kind in KINDS}
     if any(df is None for df in tables.values()):
         return None
-    known = versions(spark, store)
-    previous = 0
-    included: dict[str, set[int]] = {kind: set() for kind in KINDS}
-    if known is not None:
-        previous = known.agg(F.max("version")).first()[0]
-        for row in known.where(F.col("version") == previous).collect():
-            included[row.kind].add(row.batch)
-    present = {
-        kind: {row.batch for row in df.select("batch").distinct().collect()}
-        for kind, df in tables.items()
-    }
+    manifest = latest_manifest(spark, store)
+    known = [] if manifest is None else manifest.collect()  # a row per batch and bucket
+    number = max((row.version for row in known), default=0) + 1
+    held = {row.bucket: row.tally_version for row in known if row.bucket is not None}
+    included = {kind: {row.batch for row in known if row.kind == kind} for kind in KINDS}
+    present = {kind: batches_of(df) for kind, df in tables.items()}
     if present == included:
         return read_tally(spark, store)
 
-    def restricted(batches: dict[str, set[int]], ids: DataFrame | None) -> DataFrame:
-        chosen = []
-        for kind, df in tables.items():
-            rows = df.where(F.col("batch").isin(sorted(batches[kind]))).drop("batch")
-            chosen.append(rows if ids is None else keep_members(rows, ids, rules.id_col))
-        return report_tally(*chosen, rules)
-
-    if not previous:
-        tally = restricted(present, None)
-    else:
-        fresh = [
-            df.where(F.col("batch").isin(sorted(present[kind] - included[kind]))).select(rules.id_col)
-            for kind, df in tables.items()
-        ]
-        ids = reduce(DataFrame.unionByName, fresh).distinct()
-        before, after = restricted(included, ids), restricted(present, ids)
-        removed = before.select(*TALLY_KEYS, *[(-F.col(m)).alias(m) for m in MEASURES])
-        tally = (
-            read_tally(spark, store)
-            .unionByName(removed)
-            .unionByName(after)
-            .groupBy(*TALLY_KEYS)
-            .agg(*[F.sum(m).alias(m) for m in MEASURES])
-            .where(F.col("n_rows") > 0)
-        )
-    version = previous + 1
-    result = land(tally, f"{store}/tally/version={version}")
-    batches = [(kind, batch) for kind in KINDS for batch in sorted(present[kind])]
-    (
-        spark.createDataFrame(batches, "kind string, batch bigint")
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{store}/included/version={version}")
-    )
-    return result
+    fresh = {kind: present[kind] - included[kind] for kind in KINDS}
+    buckets, rows = rows_to_tally(tables, fresh)
+    reports = rows["reports"].drop("batch")
+    symptoms, vaccines = (rows[kind].drop("batch", BUCKET) for kind in ("symptoms", "vaccines"))
+    tally = report_tally(reports, symptoms, vaccines, rules, extra=(BUCKET,))
+    name = f"{number:09}-{uuid.uuid4().hex}"
+    tally.write.partitionBy(BUCKET).parquet(f"{store}/tally/version={name}")
+    written = spark.read.schema(tally.schema).parquet(f"{store}/tally/version={name}")
+    filled = {row[0] for row in written.select(BUCKET).distinct().collect()}
+    held = {b: v for b, v in held.items() if b not in buckets} | {b: name for b in filled}
+    lines = [(number, kind, batch, None, None) for kind in KINDS for batch in sorted(present[kind])]
+    lines += [(number, None, None, bucket, v) for bucket, v in sorted(held.items())]
+    spark.createDataFrame(lines, MANIFEST).coalesce(1).write.parquet(f"{store}/manifests/{name}")
+    return read_tally(spark, store)
