@@ -8,8 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
-from reportlens.plans.oracle import ORACLE as LIBRARY_ORACLE
-from reportlens.plans.queries import QUERIES as LIBRARY_QUERIES
+from reportlens.plans.surveillance import WITHOUT_TWIN
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
@@ -34,7 +33,7 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
 
 def test_every_query_has_a_twin():
     """Optional queries that SQL can't express have tests of their own instead."""
-    assert set(LIBRARY_ORACLE) == set(LIBRARY_QUERIES)
+    assert set(contract.QUERIES) - set(contract.ORACLE) == WITHOUT_TWIN
     assert set(ORACLE) <= set(QUERIES)
 
 
