@@ -2,11 +2,12 @@
 
 1. Word counts of all training documents. Tasks count by hash and hand on one block of counts
    per bucket; the most frequent ``KNOWN`` words, a fixed bound, are broadcast with their counts.
-2. The network learns on all training documents, dealt over ``ROUNDS``: in each round every task
+2. One pass writes every document as numbers of the model's tokens, two bytes each, with the sums
+   that need no model. What depends on words beyond ``KNOWN`` is left open there and filled in by
+   joining those words with their counts, bucket by bucket.
+3. The network learns on all training documents, dealt over ``ROUNDS``: in each round every task
    trains a copy on its own documents of the round, and the copies are averaged, weighted by
-   tokens.
-3. One pass scores all documents. What depends on words beyond ``KNOWN`` is left open there and
-   filled in by joining those words with their counts, bucket by bucket.
+   tokens. A last pass scores the numbers of all documents.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import fold_of, held_out, land, parallelism
 from .recurrent import SIZE, TYPES, Network, score, train
-from .shingles import text_chunks, word_hashes
+from .shingles import segments, text_chunks, word_hashes
 
 FOLDS = 10
 KNOWN = 1 << 20
@@ -32,9 +33,12 @@ ROUNDS = 2
 FLUSH = 4_000_000
 END = np.uint64(0)
 SMOOTH = 0.1
+#: Tokens scored side by side.
+SCORED = 1 << 20
 #: A row's number is its task and its place there.
 TASK_BITS = 36
 COUNTS = "bucket int, n long, data binary"
+ROWS = "row long, doc_id long, round int, n_tokens long, n_known long, base double, rest double, tokens binary"
 
 
 def token_stream(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -43,20 +47,30 @@ def token_stream(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray
     The low bits of a word's hash are its type, taken from its last three bytes.
     """
     for row, data, bounds in text_chunks(column):
-        words, begins, ends, first = word_hashes(data, bounds)
-        low = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint64)
-        padded = np.concatenate([np.zeros(3, np.uint64), low])
-        tail = padded[ends + 2]
-        for back in (2, 3):
-            tail = tail * np.uint64(65599) + np.where(ends - begins >= back, padded[ends + 3 - back], np.uint64(0))
-        kind = (tail * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TYPES.bit_length() + 1)
-        words = np.maximum(words & ~np.uint64(TYPES - 1) | kind, np.uint64(TYPES))
+        if len(bounds) == 2:
+            pieces = [typed_words(piece, np.array([0, len(piece)]))[0] for piece in segments(data)]
+            tokens = np.concatenate([*pieces, np.array([END])])
+            yield row, tokens, np.array([0, len(tokens)])
+            continue
+        words, first = typed_words(data, bounds)
         bounds = first + np.arange(len(first))
         tokens = np.full(int(bounds[-1]), END)
         tokens[np.arange(len(words)) + np.repeat(np.arange(len(first) - 1), np.diff(first))] = words
         yield row, tokens, bounds
 
 
+def typed_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, with their types, of all words of the texts in ``data``, and each text's first word."""
+    words, begins, ends, first = word_hashes(data, bounds)
+    low = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint64)
+    padded = np.concatenate([np.zeros(3, np.uint64), low])
+    tail = padded[ends + 2]
+    for back in (2, 3):
+        tail = tail * np.uint64(65599) + np.where(ends - begins >= back, padded[ends + 3 - back], np.uint64(0))
+    kind = (tail * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TYPES.bit_length() + 1)
+    return np.maximum(words & ~np.uint64(TYPES - 1) | kind, np.uint64(TYPES)), first
+
+
 def blocks(hashes: np.ndarray, buckets: int, *columns: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
     """(bucket, rows, bytes of the columns) for every bucket of hashes."""
     of = (hashes >> np.uint64(32)) % np.uint64(buckets)
@@ -178,15 +192,76 @@ def numbered(words: Words, tokens: np.ndarray, at: np.ndarray, known: np.ndarray
     return np.where(tokens == END, np.int32(0), np.where(known & (own >= 0), own, rest))
 
 
-def learned(training: DataFrame, words: Words) -> Network:
-    """Average of the copies that the tasks train, round after round."""
-    spark = training.sparkSession
+def prepared(docs: DataFrame, words: Words, buckets: int) -> DataFrame:
+    """Rows of ``ROWS``, one per document, and rows of ``COUNTS``: unknown words by bucket, with the
+    numbers of their rows. Landed.
+
+    ``round`` is the one in which a document is learned from, null if it is held out. ``base``
+    and ``rest`` are the known words' parts of the base and of what follows rest tokens.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    base_size = math.log10(words.total + SMOOTH * (words.distinct + 1))
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int")
+    learns = F.coalesce(fold_of(F.col("doc_id"), FOLDS) != 0, F.lit(True))
+    source = docs.select("doc_id", F.when(learns, turn).alias("round"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        rest_size, _ = words.rest_share()
+        task, done = TaskContext.get().partitionId() << TASK_BITS, 0
+        for batch in batches:
+            for row, tokens, bounds in token_stream(batch.column("text")):
+                n = len(bounds) - 1
+                of = np.repeat(np.arange(n), np.diff(bounds))
+                at, known = words.places(tokens)
+                model = numbered(words, tokens, at, known).astype(np.uint16)
+                rest = model >= SIZE - TYPES
+                found = np.log10(np.where(known, words.counts[at] if len(words.counts) else 0, 0) + SMOOTH)
+                found = np.where(known, found, 0.0)
+                numbers = task + done + np.arange(n)
+                done += n
+                columns = {
+                    "row": pa.array(numbers),
+                    "doc_id": batch.column("doc_id").slice(row, n),
+                    "round": batch.column("round").slice(row, n),
+                    "n_tokens": pa.array(np.diff(bounds)),
+                    "n_known": pa.array(np.bincount(of, known, n).astype(np.int64)),
+                    "base": pa.array(np.bincount(of, found - base_size, n).astype(np.float64)),
+                    "rest": pa.array(np.bincount(of[rest], found[rest] - rest_size[model[rest] - (SIZE - TYPES)], n).astype(np.float64)),
+                    "tokens": pa.array([model[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:])], pa.binary()),
+                }
+                nothing = {"bucket": pa.nulls(n, pa.int32()), "n": pa.nulls(n, pa.int64()), "data": pa.nulls(n, pa.binary())}
+                yield pa.RecordBatch.from_arrays(list((columns | nothing).values()), list(columns | nothing))
+                open_rows = list(blocks(tokens[~known], buckets, numbers[of[~known]]))
+                if open_rows:
+                    part = count_rows(open_rows)
+                    empty = {k: pa.nulls(len(open_rows), v.type) for k, v in columns.items()}
+                    yield pa.RecordBatch.from_arrays([*empty.values(), *part.columns], [*empty, "bucket", "n", "data"])
+
+    out = land(source.mapInArrow(run, f"{ROWS}, {COUNTS}"), "prepared")
+    shared.unpersist()
+    return out
+
+
+def token_numbers(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, tokens, bounds) of runs of documents of about ``SCORED`` tokens."""
+    sizes = np.array([len(x.as_buffer()) // 2 for x in batch.column("tokens")], dtype=np.int64)
+    at, upto = 0, np.cumsum(sizes)
+    while at < len(sizes):
+        before = upto[at] - sizes[at]
+        to = max(at + 1, int(np.searchsorted(upto, before + SCORED, side="right")))
+        parts = [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("tokens").slice(at, to - at)]
+        yield at, np.concatenate(parts).astype(np.int32), np.concatenate([[0], upto[at:to] - before])
+        at = to
+
+
+def learned(rows: DataFrame, words: Words) -> Network:
+    """Average of the copies that the tasks train on ``rows``, round after round."""
     prior = np.zeros(SIZE)
     ours = words.model >= 0
     prior[words.model[ours]] = words.counts[ours]
     prior[SIZE - TYPES :] = words.rest_tokens
     network = Network.start(prior)
-    shared = spark.sparkContext.broadcast(words)
     for number in range(ROUNDS):
         start = network
 
@@ -195,15 +270,13 @@ def learned(training: DataFrame, words: Words) -> Network:
 
             def learn() -> None:
                 nonlocal weights, seen, waiting, held
-                tokens = np.concatenate(waiting)
-                at, known = shared.value.places(tokens)
                 copy = start if not seen else start.filled(weights / seen)
-                copy = train(copy, np.concatenate([[0], numbered(shared.value, tokens, at, known)]), 0)
+                copy = train(copy, np.concatenate([[0], *waiting]), 0)
                 weights = copy.flat().astype(np.float64) * (seen + held)
                 seen, waiting, held = seen + held, [], 0
 
             for batch in batches:
-                for _, tokens, _ in token_stream(batch.column("text")):
+                for _, tokens, _ in token_numbers(batch):
                     waiting.append(tokens)
                     held += len(tokens)
                     if held >= FLUSH:
@@ -213,8 +286,7 @@ def learned(training: DataFrame, words: Words) -> Network:
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([weights.tobytes()], pa.binary())], ["n", "weights"])
 
-        own = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == number
-        copies = training.where(own).select("text").mapInArrow(run, "n long, weights binary")
+        copies = rows.where(F.col("round") == number).select("tokens").mapInArrow(run, "n long, weights binary")
         add = lambda a, b: (a[0] + b[0], a[1] + b[1])
         seen, weights = (
             copies.rdd.map(lambda r: (r["n"], np.frombuffer(r["weights"]))).treeAggregate((0, 0.0), add, add)
@@ -224,59 +296,38 @@ def learned(training: DataFrame, words: Words) -> Network:
     return network
 
 
+def scored(rows: DataFrame, network: Network) -> DataFrame:
+    """``rows`` with ``lm``, the network's log10 probability, instead of their tokens."""
+    kept = [name for name in rows.columns if name != "tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            logs = [np.zeros(0)]
+            for _, tokens, bounds in token_numbers(batch):
+                logs.append(score(network, tokens, bounds, 0) / math.log(10))
+            yield batch.select(kept).append_column("lm", pa.array(np.concatenate(logs)))
+
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes if name in kept)
+    return rows.mapInArrow(run, f"{kinds}, lm double")
+
+
 def likelihoods(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score; both scores in log10.
 
     Learns from the documents outside the held-out fold; a row with a null id is not held
     out and learned from. A null text is empty and has the end alone; repeated rows count each; other columns are ignored; an
-    empty table gives no row. Words are told apart by 64-bit hashes.
+    empty table gives no row. A long text is tokenized in segments cut at white space; its tokens
+    are one row. Words are told apart by 58 bits of a hash and 6 bits of their ending.
     """
-    spark = docs.sparkSession
     buckets = parallelism(docs)
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     training = whole.where(F.coalesce(fold_of(F.col("doc_id"), FOLDS) != 0, F.lit(True)))
     counts = token_counts(training, buckets)
     words = statistics(counts, buckets)
-    network = learned(training, words)
-    shared = spark.sparkContext.broadcast(words)
-    base_size = math.log10(words.total + SMOOTH * (words.distinct + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        rest_size, _ = words.rest_share()
-        task, done = TaskContext.get().partitionId() << TASK_BITS, 0
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for row, tokens, bounds in token_stream(batch.column("text")):
-                n = len(bounds) - 1
-                of = np.repeat(np.arange(n), np.diff(bounds))
-                at, known = words.places(tokens)
-                model = numbered(words, tokens, at, known)
-                rest = model >= SIZE - TYPES
-                found = np.log10(np.where(known, words.counts[at] if len(words.counts) else 0, 0) + SMOOTH)
-                base = np.bincount(of, np.where(known, found, 0.0) - base_size, n)
-                lm = score(network, model, bounds, 0) / math.log(10)
-                lm += np.bincount(of[rest], np.where(known, found, 0.0)[rest] - rest_size[model[rest] - (SIZE - TYPES)], n)
-                numbers = task + done + np.arange(n)
-                done += n
-                columns = {
-                    "row": pa.array(numbers), "doc_id": pa.array(ids[row : row + n], pa.int64()),
-                    "n_tokens": pa.array(np.diff(bounds)), "n_known": pa.array(np.bincount(of, known, n).astype(np.int64)),
-                    "base": pa.array(base), "lm": pa.array(lm),
-                }
-                nothing = {"bucket": pa.nulls(n, pa.int32()), "n": pa.nulls(n, pa.int64()), "data": pa.nulls(n, pa.binary())}
-                yield pa.RecordBatch.from_arrays(list((columns | nothing).values()), list(columns | nothing))
-                open_rows = list(blocks(tokens[~known], buckets, numbers[of[~known]]))
-                if open_rows:
-                    part = count_rows(open_rows)
-                    empty = {k: pa.nulls(len(open_rows), v.type) for k, v in columns.items()}
-                    yield pa.RecordBatch.from_arrays([*empty.values(), *part.columns], [*empty, "bucket", "n", "data"])
-
-    scored = land(
-        whole.mapInArrow(run, f"row long, doc_id long, n_tokens long, n_known long, base double, lm double, {COUNTS}"),
-        "scored",
-    )
+    ready = prepared(whole, words, buckets)
+    rows = ready.where("row is not null").drop("bucket", "n", "data")
+    network = learned(rows, words)
 
     def looked_up(table: pa.Table, rare: pa.Table) -> pa.Table:
         """Sums per document over its words beyond the broadcast ones; a block per scoring task."""
@@ -306,7 +357,7 @@ def likelihoods(docs: DataFrame) -> DataFrame:
             "seen": np.bincount(of, seen, len(own)).astype(np.int64),
         })
 
-    rare = scored.where("bucket is not null").select("bucket", "n", "data")
+    rare = ready.where("bucket is not null").select("bucket", "n", "data")
     sums = (
         counts.groupBy("bucket")
         .cogroup(rare.groupBy("bucket"))
@@ -315,9 +366,9 @@ def likelihoods(docs: DataFrame) -> DataFrame:
         .applyInArrow(summed, "row long, logs double, seen long")
     )
     extra = F.coalesce("logs", F.lit(0.0))
+    slim = rows.select("row", "doc_id", "n_tokens", "n_known", "base", "rest", "tokens")
     return (
-        scored.where("row is not null")
-        .drop("bucket", "n", "data")
+        scored(slim, network)
         .join(sums, "row", "left")
         .select(
             "doc_id",
@@ -326,6 +377,6 @@ def likelihoods(docs: DataFrame) -> DataFrame:
             (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
             F.lit(words.total).cast("long").alias("train_tokens"),
             (F.col("base") + extra).alias("base_score"),
-            (F.col("lm") + extra).alias("score"),
+            (F.col("lm") + F.col("rest") + extra).alias("score"),
         )
     )

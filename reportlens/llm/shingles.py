@@ -81,9 +81,37 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return hashes, at, to, np.searchsorted(at, bounds)
 
 
+def segments(data: np.ndarray, limit: int = CHUNK) -> Iterator[np.ndarray]:
+    """One text's bytes in pieces of about ``limit``, cut at white space; only a longer word makes a
+    longer piece."""
+    at = 0
+    while at < len(data):
+        to = min(at + limit, len(data))
+        while to < len(data):
+            spaces = np.flatnonzero(IS_SPACE[data[to : to + limit]])
+            if len(spaces):
+                to += int(spaces[0])
+                break
+            to = min(to + limit, len(data))
+        yield data[at:to]
+        at = to
+
+
+def long_set(data: np.ndarray) -> np.ndarray:
+    """The shingle set of one text, whose words are hashed segment by segment."""
+    words = [word_hashes(piece, np.array([0, len(piece)]))[0] for piece in segments(data)]
+    words = np.concatenate([np.zeros(0, np.uint64), *words])
+    return sets_of(words, np.array([0, len(words)]))[0]
+
+
 def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words than a shingle make one; none, none."""
     words, _, _, first = word_hashes(data, bounds)
+    return sets_of(words, first)
+
+
+def sets_of(words: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Shingle sets from the hashes of all words and each text's first word."""
     n = max(len(words) - WIDTH + 1, 0)
     joined = np.zeros(n, dtype=np.uint64)
     for k in range(WIDTH):
@@ -103,7 +131,8 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 
 
 def text_chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, bounds) of runs of whole texts of about ``limit`` bytes; null is empty."""
+    """(first row, bytes, bounds) of runs of whole texts of about ``limit`` bytes; null is empty. A
+    longer text comes alone."""
     column = column.cast(pa.large_binary())
     sizes = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
@@ -117,5 +146,6 @@ def text_chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, np.
 def batch_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, shingle set) of every text of a column."""
     for at, data, bounds in text_chunks(column):
-        for k, hashes in enumerate(shingle_sets(data, bounds)):
+        sets = [long_set(data)] if len(bounds) == 2 else shingle_sets(data, bounds)
+        for k, hashes in enumerate(sets):
             yield at + k, hashes
