@@ -19,6 +19,7 @@ from . import (
     suffixes,
     surrogates,
     threshold,
+    twins,
     warc,
 )
 
@@ -108,6 +109,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    **twins.ORACLE,
     "op10_threshold_top_k": """
         WITH v AS (
             SELECT vec_id, [floor(256 * x::double) FOR x IN embedding] AS q FROM embeddings
