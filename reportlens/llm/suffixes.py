@@ -8,13 +8,17 @@ smallest hash of its 32-byte strings, its anchor. Neighbouring windows share the
 travel as one stretch of text.
 
 1. Stretches whose anchor occurs once hold no repeated window and are dropped, by hash alone.
-2. Stretches that are equal as a whole are repeated throughout.
-3. Different stretches with one anchor get a suffix array per block. In suffix order truncated at
-   ``LENGTH`` bytes, the previous and the next smaller position of a suffix, looked up among its
-   equals, say whether an earlier copy exists (LPF), the next greater ones whether a later one.
+2. Stretches that are equal as a whole are one stretch with its number; a number above one means
+   that it is repeated throughout.
+3. Different stretches with one anchor get a suffix array per block, ordered by their first
+   ``LENGTH`` bytes, then by position. The previous and the next smaller position in this order are
+   the earlier suffixes that a suffix has most in common with; the longer of the two common
+   prefixes is its longest previous factor (LPF). Greater positions give the longest next factor.
+   Where a factor reaches ``LENGTH``, the window has an earlier or a later copy.
 
 Anchors with more than ``LONG_LIST`` different stretches would overload a block; their windows
-are counted one by one by 128-bit hashes with partial aggregation instead.
+are counted one by one by 128-bit hashes with partial aggregation instead. That is not the method
+above, but gives the same spans.
 """
 
 from __future__ import annotations
@@ -24,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,23 +120,74 @@ def all_stretches(texts: DataFrame) -> DataFrame:
     return texts.select("text_key", "text").mapInArrow(run, STRETCH)
 
 
-def truncated_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each position's next ``length`` bytes; equal ranks for equal strings.
-
-    Prefix doubling: ranks of strings twice as long come from pairs of ranks. ``data`` is padded
-    by zeros, which matter only for positions nearer to its end than ``length``.
-    """
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(2 * length + 8, dtype=np.uint8)])
+def words_at(data: np.ndarray, beyond: int) -> np.ndarray:
+    """The 8 bytes from each position on as a number, ``beyond`` more positions with zeros included."""
+    padded = np.concatenate([data, np.zeros(beyond + 8, dtype=np.uint8)])
     words = np.zeros(len(padded) - 7, dtype=np.uint64)
     for k in range(8):
         words = words << np.uint64(8) | padded[k : len(padded) - 7 + k].astype(np.uint64)
-    ranks, size = np.unique(words, return_inverse=True)[1].astype(np.int64), 8
+    return words
+
+
+def truncated_ranks(words: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """(size, rank of each position's next ``size`` bytes) for sizes 8, 16, .. up to ``length``.
+
+    Prefix doubling: ranks of strings twice as long come from pairs of ranks. Equal strings have
+    equal ranks; positions nearer to the end than a size have ranks that mean nothing.
+    """
+    ranks, size = np.unique(words, return_inverse=True)[1], 8
+    levels = [(size, ranks.astype(np.int32))]
     while size < length:
         shift = min(size, length - size)
         pairs = ranks[: len(ranks) - shift] * (int(ranks.max()) + 1) + ranks[shift:]
-        ranks, size = np.unique(pairs, return_inverse=True)[1].astype(np.int64), size + shift
-    return ranks[:n]
+        ranks, size = np.unique(pairs, return_inverse=True)[1], size + shift
+        levels.append((size, ranks.astype(np.int32)))
+    return levels
+
+
+def common_prefix(words: np.ndarray, levels: list[tuple[int, np.ndarray]], one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many of the first ``LENGTH`` bytes at ``one`` and ``other`` are alike, from the longest level down."""
+    longest, whole = levels[-1]
+    done = np.where(whole[one] == whole[other], longest, 0)
+    open_ = np.flatnonzero(done == 0)
+    a, b, n = one[open_], other[open_], np.zeros(len(open_), dtype=np.int64)
+    for size, ranks in reversed(levels[:-1]):
+        # Less than the whole is alike, so positions stay within it.
+        at = np.flatnonzero(n + size < longest)
+        n[at] += np.where(ranks[a[at] + n[at]] == ranks[b[at] + n[at]], size, 0)
+    differ = words[a + n] ^ words[b + n]
+    for k in range(1, 8):
+        n += differ < np.uint64(1 << (64 - 8 * k))
+    done[open_] = np.minimum(n, longest - 1)
+    return done
+
+
+def previous_smaller(x: np.ndarray) -> np.ndarray:
+    """For each place the last one before it with a smaller number, or -1; numbers differ.
+
+    Places in between always hold larger numbers, so a candidate that is larger hands on its own.
+    """
+    found = np.arange(-1, len(x) - 1)
+    open_ = np.arange(len(x))
+    while len(open_):
+        open_ = open_[found[open_] >= 0]
+        open_ = open_[x[found[open_]] > x[open_]]
+        found[open_] = found[found[open_]]
+    return found
+
+
+def longest_factors(words: np.ndarray, levels: list[tuple[int, np.ndarray]], at: np.ndarray, rank: np.ndarray, earlier: bool) -> np.ndarray:
+    """Per suffix the longest factor, up to ``LENGTH`` bytes, that also begins at an earlier (or a later)
+    one of the suffixes; ``at`` are their positions, ascending."""
+    order = np.argsort(rank, kind="stable")
+    place = order if earlier else -order
+    before = previous_smaller(place)
+    after = len(place) - 1 - previous_smaller(place[::-1])[::-1]
+    out = np.zeros(len(at), dtype=np.int64)
+    for near, exists in ((before, before >= 0), (after, after < len(place))):
+        mine, theirs = order[exists], order[near[exists]]
+        out[mine] = np.maximum(out[mine], common_prefix(words, levels, at[mine], at[theirs]))
+    return out
 
 
 def plausible(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -150,11 +204,8 @@ def plausible(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
 def repeated_windows(data: np.ndarray, windows: np.ndarray, earlier_only: bool) -> np.ndarray:
     """Which of the positions ``windows`` (ascending) have a copy of their ``LENGTH`` bytes at
-    another of these positions, or at an earlier one.
+    another of these positions, or at an earlier one: those whose longest factor reaches ``LENGTH``.
 
-    The suffix order is that of the truncated ranks, then of positions. Among equals the previous
-    smaller position of a suffix is its predecessor and the next smaller one doesn't exist, so
-    LPF reaches ``LENGTH`` where there is a predecessor, its mirror image where there is a successor.
     Only the text of windows that may have a copy is ranked.
     """
     found = np.zeros(len(windows), dtype=bool)
@@ -165,13 +216,14 @@ def repeated_windows(data: np.ndarray, windows: np.ndarray, earlier_only: bool)
     np.add.at(covered, windows[kept], 1)
     np.add.at(covered, windows[kept] + LENGTH, -1)
     covered = np.cumsum(covered)[:-1] > 0
-    place = np.cumsum(covered) - 1
-    ranks = truncated_ranks(data[covered], LENGTH)[place[windows[kept]]]
-    order = np.argsort(ranks, kind="stable")
-    equal = ranks[order][1:] == ranks[order][:-1]
-    found[kept[order[1:][equal]]] = True
+    at = (np.cumsum(covered) - 1)[windows[kept]]
+    words = words_at(data[covered], 2 * LENGTH)
+    levels = truncated_ranks(words, LENGTH)
+    rank = levels[-1][1][at]
+    factors = longest_factors(words, levels, at, rank, True)
     if not earlier_only:
-        found[kept[order[:-1][equal]]] = True
+        factors = np.maximum(factors, longest_factors(words, levels, at, rank, False))
+    found[kept] = factors >= LENGTH
     return found
 
 
@@ -184,14 +236,6 @@ def spans_of(mask: np.ndarray) -> np.ndarray:
 def block_spans(table: pa.Table, keep_first: bool) -> pa.Table:
     """Removed spans of the stretches of one block: text_key, first, last byte + 1."""
     table = table.sort_by([("text_key", "ascending"), ("place", "ascending")])
-    keys, place = table.column("text_key"), table.column("place").to_numpy()
-    # Copies of a text bring the same stretches; one of each is enough.
-    fresh = np.ones(len(table), dtype=bool)
-    if len(table) > 1:
-        column = keys.combine_chunks()
-        same = pa.compute.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-        fresh[1:] = ~(same & (place[1:] == place[:-1]))
-    table = table.filter(pa.array(fresh))
     texts = table.column("bytes").to_pylist()
     place, counted = table.column("place").to_numpy(), place_windows(table)
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -296,7 +340,10 @@ def removed_spans(texts: DataFrame, keep_first: bool, long_list: int = LONG_LIST
         .agg(F.collect_list(F.struct("anchor", "place", "hot")).alias("wanted"))
         .select("key.text_key", "wanted")
     )
-    compared = land(with_bytes(texts.join(wanted, "text_key").select("text_key", "text", "wanted")), "compared")
+    # One copy of each text, made in the map tasks first, however many there are.
+    different = texts.groupBy(F.struct("text_key").alias("key")).agg(F.first("text").alias("text"))
+    different = different.select("key.text_key", "text").join(wanted, "text_key")
+    compared = land(with_bytes(different.select("text_key", "text", "wanted")), "compared")
     blocks = BLOCKS * parallelism(texts)
     block = F.pmod(F.xxhash64("anchor"), F.lit(blocks))
     inside = (
