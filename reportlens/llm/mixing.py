@@ -96,21 +96,26 @@ def first_that_fit(free: DataFrame) -> DataFrame:
     return others.unionByName(edge).drop("last_bucket", "before")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> DataFrame:
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix", row_col: str | None = None
+) -> DataFrame:
     """Per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``copies``.
 
+    ``row_col``, if given, holds a different number for every row of ``docs`` and comes back as ``row``.
+
     Reads ``doc_id``, ``text`` and ``source``; other columns are ignored. A null source is a
     source of its own, the last. A null or blank text has size 0 and takes 0 words (its copies
     are the certain ones). Documents of equal rank are told apart by id and size; fully equal
     rows are interchangeable. An empty table gives no row.
     """
+    # The numbers tell equal rows apart; they are fixed by landing them.
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
+        (F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()).alias("row"),
     )
-    # The numbers tell equal rows apart; they are fixed by landing them.
-    sizes = land(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    sizes = land(sized, "sizes")
     targets = land(source_targets(sizes, weights), "targets").withColumn(
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     )
@@ -184,4 +189,5 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix"
         (F.col("size") * copies).cast("long").alias("taken"),
         copies.cast("int").alias("copies"),
         "source",
+        *(["row"] if row_col else []),
     )
