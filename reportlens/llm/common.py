@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +60,21 @@ def held_out(doc_id: Column, parts: int) -> Column:
 def text_key(text: Column) -> Column:
     """16 bytes of SHA-256 that identify a text."""
     return F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def frugal(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``; its worker, which stays for later tasks, gives free memory back."""
+
+    @wraps(run)
+    def whole(batches: Batches) -> Batches:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+        if trim:
+            trim(0)
+
+    return whole

@@ -13,7 +13,9 @@ Two documents link when 100 * |intersection| >= 75 * |union| of their shingle se
 A list with m members is not turned into m * m pairs. First every member is paired with one
 leader of its list, which joins copies into components; this is repeated with other leaders.
 Then only pairs from different components that still share a list remain to be verified, so
-all links between components are found and components are exact.
+all links between components are found and components are exact. Such a pair is formed once, in
+the first list that both have, where the filter by places is sharpest, if that is among the first
+``FIRSTS`` lists of both; else in every list that they share.
 
 What is broadcast has fixed bounds: ``FREQUENT`` shingles and a bit map of ``MAP_BITS`` bits
 that spares most sets that no pair needs from being shuffled. A list known to be very frequent is
@@ -30,8 +32,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import land, parallelism
-from .graph import components
+from .common import frugal, land, parallelism
+from .graph import merged
 from .shingles import batch_sets, mixed
 
 PERCENT = 75
@@ -39,10 +41,12 @@ FREQUENT = 1 << 20
 MAP_BITS = 1 << 26
 #: Shingles that a task gathers before it counts them, and before it deals them out.
 COUNTED = 1 << 22
-DEALT = 1 << 21
+DEALT = 1 << 20
 #: Members of a list in one part, if the list is known to be frequent.
 PART = 100_000
 LEADER_ROUNDS = 3
+#: Lists of a class that tell whether another list is the first that a pair shares.
+FIRSTS = 8
 #: Rows of an Arrow batch; a row of a pair holds two whole sets.
 ARROW_ROWS = 1000
 
@@ -113,7 +117,7 @@ def survey(docs: DataFrame, buckets: int) -> DataFrame:
             yield rows_of(columns | {"bucket": (nothing, pa.int32()), "data": (nothing, pa.binary())})
         yield from shared()
 
-    return docs.mapInArrow(run, SURVEYED)
+    return docs.mapInArrow(frugal(run), SURVEYED)
 
 
 def frequent(surveyed: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +212,7 @@ def postings(docs: DataFrame, known, buckets: int) -> DataFrame:
                     rows, home, held = [], {}, 0
         yield from dealt()
 
-    return docs.mapInArrow(run, "bucket int, n long, members long, data binary")
+    return docs.mapInArrow(frugal(run), "bucket int, n long, members long, data binary")
 
 
 def live_lists(table: pa.Table) -> pa.Table:
@@ -245,7 +249,7 @@ def bit_of(k: Column) -> Column:
 
 
 def needed_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``k`` and the set of every class in ``classes(k)``."""
+    """``k`` and the set of every class in ``classes(k)``. Landed."""
     words = (
         classes.select(bit_of(F.col("k")).alias("bit"))
         .groupBy((F.col("bit") / 64).cast("long").alias("word"))
@@ -274,8 +278,11 @@ def needed_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
             hit = (shared.value[bit // 64] >> (bit % 64).astype(np.uint64)) & np.uint64(1)
             yield batch.filter(pa.array(hit > 0))
 
-    sets = docs.mapInArrow(sieve, "k long, data binary")
-    return sets.join(classes.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.first("data").alias("data"))
+    sets = docs.mapInArrow(frugal(sieve), "k long, data binary")
+    found = sets.join(classes.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.first("data").alias("data"))
+    found = land(found, "sets")
+    shared.unpersist()
+    return found
 
 
 def xx64_long(x: int) -> int:
@@ -287,7 +294,7 @@ def xx64_long(x: int) -> int:
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``pairs(a, b)`` with ``links``: whether the full sets reach the threshold. Landed."""
     classes = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
-    sets = land(needed_sets(docs, classes), "sets")
+    sets = needed_sets(docs, classes)
     left = sets.select(F.col("k").alias("a"), F.col("data").alias("x"))
     right = sets.select(F.col("k").alias("b"), F.col("data").alias("y"))
 
@@ -305,7 +312,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             )
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return land(joined.mapInArrow(run, "a long, b long, links boolean"), "verified")
+    return land(joined.mapInArrow(frugal(run), "a long, b long, links boolean"), "verified")
 
 
 def needed(n: Column, m: Column) -> Column:
@@ -335,6 +342,28 @@ def enough_in_common(pairs: DataFrame, shared: DataFrame) -> DataFrame:
     return joined.where(passes).select("a", "b")
 
 
+def first_lists(lists: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
+    """``k``, its group ``g`` and ``firsts``, the first lists in the common order, of all classes of
+    ``members``. The more of a set is left from a shingle on, the earlier it is."""
+    asked = land(members.select("k").distinct(), "asked")
+    groups = shared.join(asked, "k", "left_semi").select("k", "g")
+    own = lists.join(land(groups, "groups"), "k")
+    in_order = F.sort_array(F.collect_list(F.when(F.col("h") != F.col("g"), F.struct(-F.col("rest"), "h"))))
+    return own.groupBy("k").agg(F.first("g").alias("g"), F.slice(in_order["h"], 1, FIRSTS).alias("firsts"))
+
+
+def meets_here() -> Column:
+    """Whether list h is the one in which the pair of k and other is formed.
+
+    Classes of one group meet in the group's own list. Others meet in the first list they share: if
+    the first lists of both have any in common, the first of these is it, as they are in order.
+    """
+    common = F.array_intersect("firsts", "other_firsts")
+    return F.when(F.col("g") == F.col("other_g"), F.col("h") == F.col("g")).otherwise(
+        F.coalesce(F.try_element_at(common, F.lit(1)) == F.col("h"), F.lit(True))
+    )
+
+
 def paired(df: DataFrame) -> DataFrame:
     """Distinct pairs of the columns k and other, the smaller first."""
     return df.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct()
@@ -347,7 +376,6 @@ def class_components(docs: DataFrame, lists: DataFrame, shared: DataFrame) -> Da
     both are landed.
     """
     tested: DataFrame | None = None
-    linked: DataFrame | None = None
     labels: DataFrame | None = None
 
     def labelled() -> DataFrame:
@@ -358,7 +386,7 @@ def class_components(docs: DataFrame, lists: DataFrame, shared: DataFrame) -> Da
         return land(marked.select("h", "k", "n", "rest", F.coalesce("label", "k").alias("c")), "marked")
 
     def test(pairs: DataFrame) -> None:
-        nonlocal tested, linked, labels
+        nonlocal tested, labels
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = land(pairs, "pairs")
@@ -366,9 +394,9 @@ def class_components(docs: DataFrame, lists: DataFrame, shared: DataFrame) -> Da
         likely = land(enough_in_common(pairs, shared), "likely")
         if not likely.limit(1).count():
             return
-        new = verified(docs, likely).where("links").select("a", "b")
-        linked = new if linked is None else linked.unionByName(new)
-        labels = components(linked) if linked.limit(1).count() else None
+        links = verified(docs, likely).where("links").select("a", "b")
+        if links.limit(1).count():
+            labels = merged(labels, links)
 
     for round_no in range(LEADER_ROUNDS + 1):
         marked = labelled()
@@ -386,18 +414,27 @@ def class_components(docs: DataFrame, lists: DataFrame, shared: DataFrame) -> Da
             test(paired(led.select("k", F.col("leader.k").alias("other"))))
             continue
         # Whatever components still share a list: all pairs between them that can link.
-        still = land(marked.join(open_lists.select("h"), "h", "left_semi"), "still")
-        by_component = still.groupBy("h", "c").agg(F.min("n").alias("n"), F.max("rest").alias("rest"))
+        still = marked.join(open_lists.select("h"), "h", "left_semi")
+        still = land(still.join(first_lists(lists, still, shared), "k"), "still")
+        by_component = still.groupBy("h", "c").agg(
+            F.min("n").alias("n"), F.max("rest").alias("rest"), F.count("*").alias("members")
+        )
         by_component = land(by_component, "by-component")
-        other = by_component.select("h", F.col("c").alias("d"), F.col("n").alias("m"), F.col("rest").alias("other_rest"))
-        meeting = by_component.join(other, "h").where("c < d").where(may_link("n", "rest", "m", "other_rest"))
-        meeting = meeting.select("h", "c", "d")
-        first = still.select("h", "c", "k", "n", "rest")
-        second = still.select(
-            "h", F.col("c").alias("d"), F.col("k").alias("other"), F.col("n").alias("m"), F.col("rest").alias("other_rest")
+        other = by_component.select(
+            "h", F.col("c").alias("d"), F.col("n").alias("m"), F.col("rest").alias("other_rest"), F.col("members").alias("others")
         )
-        expanded = meeting.join(first, ["h", "c"]).join(second, ["h", "d"])
-        test(paired(expanded.where(may_link("n", "rest", "m", "other_rest"))))
+        # The component with fewer members in the list, c, is expanded first.
+        fewer = F.struct("members", "c") < F.struct(F.col("others").alias("members"), F.col("d").alias("c"))
+        meeting = by_component.join(other, "h").where(fewer & may_link("n", "rest", "m", "other_rest"))
+        meeting = meeting.select("h", "c", "d", "m", "other_rest")
+        first = still.select("h", "c", "k", "n", "rest", "g", "firsts")
+        second = still.select(
+            "h", F.col("c").alias("d"), F.col("k").alias("other"), F.col("n").alias("m"), F.col("rest").alias("other_rest"),
+            F.col("g").alias("other_g"), F.col("firsts").alias("other_firsts"),
+        )
+        expanded = meeting.join(first, ["h", "c"]).where(may_link("n", "rest", "m", "other_rest")).drop("m", "other_rest")
+        expanded = expanded.join(second, ["h", "d"])
+        test(paired(expanded.where(may_link("n", "rest", "m", "other_rest") & meets_here())))
     return labels
 
 
@@ -434,6 +471,7 @@ def joined_copies(docs: DataFrame) -> DataFrame:
         postings(only_text, known, buckets).groupBy("bucket").applyInArrow(live_lists, "kind int, a long, b long, n long, place long"),
         "lists",
     )
+    known.unpersist()
     members = lists.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("k"), "n").distinct()
     members = land(members, "members")
     several = members.groupBy("g").agg(F.count("*").alias("size")).where("size > 1").select("g")

@@ -7,10 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from reportlens.llm import jaccard, likelihood, mixing, packing, quality, recurrent, suffixes, surrogates
+from reportlens.llm import graph, jaccard, likelihood, mixing, packing, quality, recurrent, suffixes, surrogates
+from reportlens.llm import shingles as shingles_of
+from reportlens.llm.common import held_out, parallelism
 from reportlens.llm.queries import vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -87,6 +90,34 @@ def test_suffixes_match_brute_force(spark, edge_docs, edge_rows, long_list):
     assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("letters", [2, 4, 26])
+def test_longest_factors_have_the_right_length(monkeypatch, letters):
+    monkeypatch.setattr(suffixes, "LENGTH", 40)
+    draw = np.random.default_rng(letters)
+    data = draw.integers(97, 97 + letters, 700).astype(np.uint8)
+    data[300:390] = data[100:190]
+    data[500:530] = data[20:50]
+    at = np.unique(draw.integers(0, 700 - 40, 400))
+    words = suffixes.words_at(data, 80)
+    levels = suffixes.truncated_ranks(words, 40)
+    text = data.tobytes()
+
+    def alike(a, b):
+        return next((k for k in range(40) if text[a + k] != text[b + k]), 40)
+
+    for earlier in (True, False):
+        got = suffixes.longest_factors(words, levels, at, levels[-1][1][at], earlier)
+        want = [max((alike(a, b) for b in at if (b < a if earlier else b > a)), default=0) for a in at]
+        assert got.tolist() == want
+
+
+def test_previous_smaller():
+    draw = np.random.default_rng(2)
+    for x in (draw.permutation(200), np.arange(50), np.arange(50)[::-1], np.zeros(0, int)):
+        want = [max((j for j in range(i) if x[j] < x[i]), default=-1) for i in range(len(x))]
+        assert suffixes.previous_smaller(x).tolist() == want
+
+
 def test_suffixes_keep_first(spark, edge_rows, no_docs):
     texts = sorted({r[1] or "" for r in edge_rows}, key=lambda t: hashlib.sha256(t.encode()).digest()[:16])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -141,10 +172,11 @@ def test_jaccard_matches_brute_force(edge_docs, edge_rows, no_docs):
     assert jaccard.near_copies(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_jaccard_chains_and_crowds(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("rounds, firsts", [(0, 8), (0, 1), (3, 8)])
+def test_jaccard_chains_and_crowds(spark, monkeypatch, rounds, firsts):
     """Chains of near copies, and a passage in many texts that are no copies; also without leaders."""
     monkeypatch.setattr(jaccard, "LEADER_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "FIRSTS", firsts)
     monkeypatch.setattr(jaccard, "PART", 3)
     base = [f"w{k}" for k in range(60)]
     passage = " ".join(f"p{k}" for k in range(30))
@@ -159,6 +191,42 @@ def test_jaccard_chains_and_crowds(spark, monkeypatch, rounds):
     assert by_row(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(rows), key=str)
 
 
+def test_long_texts_in_word_segments(edge_rows, monkeypatch):
+    """However short the segments of a long text, its set and its tokens stay the same."""
+    column = pa.array([r[1] for r in edge_rows])
+    sets = [(k, x.tolist()) for k, x in shingles_of.batch_sets(column)]
+
+    def tokens():
+        return [t[a:z].tolist() for _, t, b in likelihood.token_stream(column) for a, z in zip(b[:-1], b[1:])]
+
+    whole = tokens()
+    for limit in (1 << 16, 300):
+        monkeypatch.setattr(shingles_of.text_chunks, "__defaults__", (limit,))
+        monkeypatch.setattr(shingles_of.segments, "__defaults__", (limit,))
+        assert [(k, x.tolist()) for k, x in shingles_of.batch_sets(column)] == sets
+        assert tokens() == whole
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_components_of_chains_and_stars(spark, parts):
+    """All at once, or in parts that are merged."""
+    draw = np.random.default_rng(5)
+    links = [(k, k + 1) for k in range(60)] + [(200, k) for k in range(100, 140)] + [(300, k) for k in range(301, 330)]
+    links += [tuple(map(int, x)) for x in draw.integers(400, 480, (50, 2))]
+    draw.shuffle(links)
+    label = {n: n for link in links for n in link}
+    for a, b in links:
+        low, high = sorted((label[int(a)], label[int(b)]))
+        label = {n: low if c == high else c for n, c in label.items()}
+    want = {n: c for n, c in label.items() if any(int(a) != int(b) for a, b in links if n in (a, b))}
+    df = [spark.createDataFrame([(int(a), int(b)) for a, b in links[k::parts]], "a long, b long").where("a <> b") for k in range(parts)]
+    got = graph.components(df[0])
+    for more in df[1:]:
+        got = graph.merged(got, more)
+    assert {r["node"]: r["label"] for r in got.collect()} == want
+    assert graph.components(df[0].limit(0)).count() == 0
+
+
 # --- 6: packing -------------------------------------------------------------------------
 
 
@@ -378,7 +446,8 @@ def test_likelihood_learns_from_every_training_document(spark, monkeypatch):
     """Each token of the training documents reaches the training once, and a gradient within it."""
     rows = [(k, f"w{k} " * (1 + k % 5)) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    words = likelihood.statistics(likelihood.token_counts(docs, 4), 4)
+    training = docs.where(~held_out(F.col("doc_id"), likelihood.FOLDS))
+    words = likelihood.statistics(likelihood.token_counts(training, 4), 4)
     used = spark.sparkContext.accumulator(0)
 
     def count(network, tokens, end):
@@ -386,10 +455,62 @@ def test_likelihood_learns_from_every_training_document(spark, monkeypatch):
         return network
 
     monkeypatch.setattr(likelihood, "train", count)
-    likelihood.learned(docs, words)
+    ready = likelihood.prepared(docs, words, 4)
+    likelihood.learned(ready.where("row is not null"), words)
     assert used.value == words.total
 
 
+def plain_log(network, tokens):
+    """Natural log-likelihood of one document, token by token."""
+    state, previous, total = np.zeros((1, recurrent.HIDDEN), np.float32), 0, 0.0
+    for token in tokens:
+        state = network.step(np.array([previous]), state)[0]
+        kind, place = divmod(int(token), recurrent.CLASSES)
+        over_classes = state[0].astype(float) @ network.classes + network.class_bias
+        within = state[0].astype(float) @ network.words[kind] + network.word_bias[kind]
+        total += over_classes[kind] - np.log(np.exp(over_classes).sum()) + within[place] - np.log(np.exp(within).sum())
+        previous = int(token)
+    return total
+
+
+@pytest.mark.parametrize("known", [likelihood.KNOWN, 64])
+def test_likelihood_score_is_the_models(spark, monkeypatch, known):
+    """The score against a plain pass over each document, unknown and rare words included."""
+    draw = np.random.default_rng(4)
+    rows = [(k, " ".join(f"w{int(x)}" for x in draw.zipf(1.3, draw.integers(0, 60)))) for k in range(300)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(likelihood, "KNOWN", known)
+    monkeypatch.setattr(likelihood, "SCORED", 500)
+    network = recurrent.Network.start(draw.random(recurrent.SIZE) * 100)
+    monkeypatch.setattr(likelihood, "learned", lambda rows, words: network)
+    got = {r["doc_id"]: r["score"] for r in likelihood.likelihoods(docs).collect()}
+
+    def tokens(text):
+        return next(likelihood.token_stream(pa.array([text])))[1]
+
+    training = [t for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 10 != 0]
+    counts = Counter(x for t in training for x in tokens(t).tolist())
+    buckets = parallelism(docs)
+    words = likelihood.statistics(likelihood.token_counts(spark.createDataFrame([(t,) for t in training], "text string"), buckets), buckets)
+    kinds = Counter()
+    sizes = Counter()
+    model = {int(h): int(m) for h, m in zip(words.hashes, words.model) if m >= 0}
+    for x, n in counts.items():
+        if x and x not in model:
+            kinds[x % recurrent.TYPES] += n
+            sizes[x % recurrent.TYPES] += 1
+    for doc_id, text in rows:
+        numbers, rest = [], 0.0
+        for x in tokens(text).tolist():
+            if x in model:
+                numbers.append(model[x])
+                continue
+            kind = x % recurrent.TYPES
+            numbers.append(recurrent.SIZE - recurrent.TYPES + kind)
+            rest += math.log10((counts[x] + 0.1) / (kinds[kind] + 0.1 * (sizes[kind] + 1)))
+        assert got[doc_id] == pytest.approx(plain_log(network, numbers) / math.log(10) + rest, rel=1e-4, abs=1e-3)
+
+
 def test_training_leaves_no_token_out(monkeypatch):
     seen = Counter()
 
