@@ -59,6 +59,30 @@ def test_threshold_matches_brute_force(spark):
     assert [tuple(r) for r in threshold.top_k(few).collect()] == [(0, 1, 1, -(2**63))]
 
 
+def test_threshold_takes_every_row(spark):
+    """Rows that share an id are candidates of each other and ask each for itself; a null id is a candidate."""
+    draw = np.random.default_rng(2)
+    x = draw.normal(0, 1, (300, 4)).astype(np.float32)
+    x[100:140] = x[0]
+    data = [(k % 260 if k != 33 else None, v.tolist()) for k, v in enumerate(x)]
+    data += [(50, x[50].tolist())] * 7 + [(150, [-0.0] * 4), (150, [0.0] * 4), (100, [1e30] * 4), (7, [3e30] * 4)]
+    want = []
+    for own, (k, q) in enumerate(data):
+        if k is not None and k % 50 == 0:
+            q = [math.floor(256 * c) for c in q]
+            s = [
+                (-sum(a * math.floor(256 * b) for a, b in zip(q, v)), j is None, j or 0)
+                for row, (j, v) in enumerate(data)
+                if row != own
+            ]
+            for r, (score, null, j) in enumerate(sorted(s)[:5]):
+                want.append((k, r + 1, -1 if null else j, max(-(2**63), min(2**63 - 1, -score))))
+    for block in (8192, 41):
+        table = spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(3)
+        got = threshold.top_k(table, block=block, every_row=True).collect()
+        assert sorted((a, b, -1 if c is None else c, d) for a, b, c, d in got) == sorted(want)
+
+
 def test_threshold_stops_early():
     draw = np.random.default_rng(1)
     x = np.floor(256 * draw.normal(0, 1, (5000, 2)))
