@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlens.llm import jaccard, mixing, quality, surrogates
-from reportlens.llm.common import land
+from reportlens.llm.common import land, packed, unpacked
 from reportlens.llm.packing import pack
 from reportlens.llm.queries import table, vocabulary
 
@@ -41,7 +41,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ids = rows.select(F.col(ROW).alias("of"), "doc_id")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "of"))
     chosen = groups.join(ids, "of").groupBy("component_id").agg(best.alias("best")).select(F.col("best.of").alias(ROW))
-    return rows.join(land(chosen, "chosen"), ROW, "left_semi").select(docs.columns)
+    chosen = land(packed(chosen, ROW, F.lit(1)), "chosen")
+    return unpacked(rows, F.col(ROW), chosen, "__kept").select(docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +55,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: every row as often as the mix takes it, up to three times, or not at all."""
     rows = numbered(docs)
     taken = mixing.mix(rows, row_col=ROW).select(F.col("row").alias(ROW), "copies").where("copies > 0")
+    taken = land(packed(taken, ROW, F.col("copies"), bits=2), "taken")
     return (
-        rows.join(land(taken, "taken"), ROW)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        unpacked(rows, F.col(ROW), taken, "__copies", bits=2)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         .select(docs.columns)
     )
 

@@ -62,6 +62,32 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
 
 
+#: Rows of a broadcast table of packed numbers; where there are more, Spark chooses the join.
+PACKED = 1 << 22
+
+
+def packed(numbers: DataFrame, key: str, value: Column, bits: int = 1) -> DataFrame:
+    """``word`` and ``bits``: values below 2**bits of non-negative keys, 64 // bits of them in a long."""
+    per = 64 // bits
+    at = (F.pmod(F.col(key), F.lit(per)) * bits).cast("int")
+    word = F.shiftright(F.col(key), per.bit_length() - 1).alias("__word")
+    return numbers.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", value.cast("long"), at)).alias("__bits"))
+
+
+def unpacked(df: DataFrame, key: Column, words: DataFrame, name: str, bits: int = 1) -> DataFrame:
+    """Rows of ``df`` whose ``key`` has a value above 0 in ``words``, landed by ``packed``, with that value.
+
+    ``df`` is not shuffled unless there are more than ``PACKED`` words.
+    """
+    per = 64 // bits
+    if words.count() <= PACKED:
+        words = F.broadcast(words)
+    at = (F.pmod(key, F.lit(per)) * bits).cast("int")
+    value = F.call_function("shiftrightunsigned", F.col("__bits"), at).bitwiseAND(F.lit(2**bits - 1).cast("long"))
+    found = df.withColumn("__word", F.shiftright(key, per.bit_length() - 1)).join(words, "__word")
+    return found.withColumn(name, value.cast("int")).where(F.col(name) > 0).drop("__word", "__bits")
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

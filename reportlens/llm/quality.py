@@ -4,15 +4,18 @@ Every pair of a preferred and a rejected document says that the first has the hi
 scores are linear in features of the text, learned by logistic loss on feature differences of
 pairs; the threshold is the quantile of the scores that equals the share of rejected labels.
 
-The fit takes at most ``FIT_ROWS`` labelled documents of each class, in the order of a hash of
-their ids, and ``PAIRS`` pairs. Scoring is one pass over the documents with no shuffle.
+The fit takes all labelled documents and all their pairs. Their features are landed; each round
+counts all scores in ``BINS`` bins per class, which gives every document its mean miss against all
+documents of the other class, and a second pass sums the gradient. What tasks send back has a fixed
+size. Scoring is one pass over the documents with no shuffle.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from operator import eq
 
 import numpy as np
@@ -20,11 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import frugal, held_out, land, packed, unpacked
 
 FOLDS = 5
-FIT_ROWS = 4000
-PAIRS = 60_000
+ROUNDS = 30
+#: Scores are counted in bins of this range, a bin by the mean of its scores; those beyond in the last bins.
+BINS = 1024
+REACH = 32.0
+#: Bits of a map of labelled ids; documents outside it are passed over, those inside are joined exactly.
+MAP_BITS = 1 << 26
 KEEP_FROM = 0.3
 #: Kinds of bytes whose neighbourhoods are counted; all others are one more kind.
 KINDS = (
@@ -77,34 +84,151 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(raw + math.log(KEEP_FROM / (1 - KEEP_FROM)), -30, 30)))
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, share: float, rounds: int = 400, ridge: float = 1e-3) -> Ranking:
-    """Bradley-Terry scores of ``x`` from all kinds of pairs (label 1 preferred to label 0).
+#: Calls a function of (features, labels) for all blocks of rows and combines the results; None without rows.
+Passes = Callable[..., np.ndarray | None]
 
-    ``share`` is the part of all documents that is labelled 0. Without pairs all weights are 0.
+
+def moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per class, one below the other: count, sums and products of the features."""
+    one = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+    return np.concatenate([one[y == k].T @ one[y == k] for k in (0, 1)])
+
+
+def binned(raw: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per class: how many scores are in each bin, and their sums."""
+    at = np.clip((raw + REACH) * (BINS / (2 * REACH)), 0, BINS - 1).astype(np.int64)
+    rows = [(np.bincount(at[y == k], w, BINS)) for k in (0, 1) for w in (None, raw[y == k])]
+    return np.stack(rows).astype(np.float64)
+
+
+def mean_misses(bins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Points of the score, and there the mean miss of a preferred and of a rejected document
+    against all documents of the other class."""
+    points = np.linspace(-REACH, REACH, BINS + 1)
+
+    def against(counts: np.ndarray, sums: np.ndarray, sign: int) -> np.ndarray:
+        some = counts > 0
+        gaps = sign * (points[:, None] - sums[some] / counts[some])
+        return (1 / (1 + np.exp(np.clip(gaps, -60, 60)))) @ counts[some] / counts.sum()
+
+    return points, against(bins[0], bins[1], 1), against(bins[2], bins[3], -1)
+
+
+def quantile(passes: Passes, raw_of: Callable, each: tuple[float, float], share: float) -> float:
+    """The middle between the scores up to which rows weigh ``share`` and the next one above, found by
+    narrowing the range; ``each`` is the weight of a row of either class."""
+    ends = passes(lambda x, y: np.array([raw_of(x).min(), -raw_of(x).max()]), np.minimum)
+    low, high = ends[0], -ends[1]
+    for _ in range(5):
+        edges = np.linspace(low, high, BINS + 1)
+
+        def up_to(x: np.ndarray, y: np.ndarray, edges=edges) -> np.ndarray:
+            raw = raw_of(x)
+            return np.stack([np.searchsorted(np.sort(raw[y == k]), edges, "right") for k in (0, 1)]).astype(np.float64)
+
+        weight = np.array(each) @ passes(up_to)
+        at = min(int(np.searchsorted(weight, share - 1e-9)), BINS)
+        low, high = edges[max(at - 1, 0)], edges[at]
+
+    def around(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        raw = raw_of(x)
+        return np.array([raw[raw <= high].max(initial=-math.inf), -raw[raw > high].min(initial=math.inf)])
+
+    below, above = passes(around, np.maximum) * [1, -1]
+    return float(below + above) / 2 if math.isfinite(above) else float(below)
+
+
+def fit(passes: Passes, share: float | None = None, ridge: float = 1e-3) -> Ranking | None:
+    """Bradley-Terry scores from all pairs of a preferred and a rejected row (labels 1 and 0).
+
+    ``share`` is the part of all documents that is labelled 0, by default that of these rows.
+    Accelerated steps under a bound of the second derivative, which the moments give once.
+    Without pairs all weights are 0; None without rows.
     """
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-2
-    z = ((x - mean) / scale).astype(np.float64)
-    better, worse = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    w = np.zeros(x.shape[1])
-    if not len(better) or not len(worse):
+    sums = passes(moments)
+    if sums is None:
+        return None
+    per_class = sums.reshape(2, len(sums) // 2, -1)
+    both = per_class.sum(axis=0)
+    rows = per_class[:, 0, 0]
+    share = rows[0] / rows.sum() if share is None else share
+    mean = both[0, 1:] / both[0, 0]
+    scale = np.sqrt(np.maximum(both.diagonal()[1:] / both[0, 0] - mean**2, 0)) + 1e-2
+    w = np.zeros(len(mean))
+    if not rows.all():
         return Ranking(mean, scale, w, -math.inf if share < 0.5 else math.inf)
-    draw = np.random.default_rng(7)
-    a, b = draw.choice(better, PAIRS), draw.choice(worse, PAIRS)
-    step = 4 / (2 * np.linalg.norm(z, 2) ** 2 / len(z) + ridge)
+    means = per_class[:, 0, 1:] / rows[:, None]
+    spread = sum(m[1:, 1:] / n - np.outer(v, v) for m, n, v in zip(per_class, rows, means))
+    spread = spread + np.outer(means[1] - means[0], means[1] - means[0])
+    bound = spread / np.outer(scale, scale) / 4 + ridge * np.eye(len(w))
+
+    def scorer(weights: np.ndarray) -> Callable:
+        per_feature = weights / scale
+        start = mean @ per_feature
+        return lambda x: x @ per_feature - start
+
     ahead, t = w, 1.0
-    for _ in range(rounds):  # accelerated gradient descent
-        raw = z @ ahead
-        miss = 1 / (1 + np.exp(np.clip(raw[a] - raw[b], -30, 30)))
-        pull = np.bincount(a, miss, len(z)) - np.bincount(b, miss, len(z))
-        after = ahead + step * (pull @ z / PAIRS - ridge * ahead) * 0.5
+    for _ in range(ROUNDS):
+        raw_of = scorer(ahead)
+        curves = mean_misses(passes(lambda x, y, raw_of=raw_of: binned(raw_of(x), y)))
+
+        def pull(x: np.ndarray, y: np.ndarray, raw_of=raw_of, curves=curves) -> np.ndarray:
+            points, preferred, rejected = curves
+            raw = raw_of(x)
+            miss = np.where(y == 1, np.interp(raw, points, preferred) / rows[1], -np.interp(raw, points, rejected) / rows[0])
+            return np.append(miss @ x, miss.sum())
+
+        total = passes(pull)
+        gradient = (total[:-1] - total[-1] * mean) / scale - ridge * ahead
+        after = ahead + np.linalg.solve(bound, gradient)
+        if gradient @ (after - w) < 0:  # too fast: start anew
+            t = 1.0
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        ahead, w, t = after + (t - 1) / t_next * (after - w), after, t_next
-    raw = z @ w
-    order = np.argsort(raw)
-    each = np.where(y == 1, (1 - share) / len(better), share / len(worse))[order]
-    at = int(np.searchsorted(np.cumsum(each), share - 1e-9))
-    below, above = raw[order][at], raw[order][min(at + 1, len(raw) - 1)]
-    return Ranking(mean, scale, w, float(below + above) / 2)
+        moved = after - w
+        ahead, w, t = after + (t - 1) / t_next * moved, after, t_next
+        if moved @ bound @ moved < 1e-8:
+            break
+    each = (share / rows[0], (1 - share) / rows[1])
+    return Ranking(mean, scale, w, quantile(passes, scorer(w), each, share))
+
+
+def fit_pairs(x: np.ndarray, y: np.ndarray, share: float) -> Ranking:
+    """``fit`` of rows at hand."""
+    x = x.astype(np.float64)
+    return fit(lambda of, combine=np.add: of(x, y), share)
+
+
+def over_rows(rows: DataFrame) -> Passes:
+    """Passes over the landed ``rows(label int, x binary)``; a task sends back one row per row of its result."""
+
+    def passes(of: Callable, combine=np.add) -> np.ndarray | None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done = None
+            for batch in batches:
+                if batch.num_rows:
+                    x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float32).reshape(batch.num_rows, -1)
+                    found = np.atleast_2d(of(x.astype(np.float64), batch.column("label").to_numpy()))
+                    done = found if done is None else combine(done, found)
+            if done is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(done), dtype=np.int32)), pa.array([r.tobytes() for r in done], pa.binary())],
+                    ["part", "data"],
+                )
+
+        def joined(table: pa.Table) -> pa.Table:
+            data = reduce(combine, (np.frombuffer(r) for r in sorted(table.column("data").to_pylist())))
+            return pa.table({"part": table.column("part")[:1], "data": pa.array([data.tobytes()], pa.binary())})
+
+        parts = rows.mapInArrow(frugal(run), "part int, data binary")
+        if of is moments:  # a matrix of each task: added up row by row
+            parts = parts.groupBy("part").applyInArrow(joined, "part int, data binary")
+        found: dict[int, list[bytes]] = {}
+        for row in parts.collect():
+            found.setdefault(row["part"], []).append(bytes(row["data"]))
+        sums = [reduce(combine, map(np.frombuffer, sorted(found[k]))) for k in sorted(found)]
+        return (sums[0] if len(sums) == 1 else np.stack(sums)) if sums else None
+
+    return passes
 
 
 def with_features(docs: DataFrame, columns: str, finish) -> DataFrame:
@@ -121,7 +245,7 @@ def with_features(docs: DataFrame, columns: str, finish) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Ranking:
-    """Fit on the labelled documents outside the held-out fold.
+    """Fit on all labelled documents outside the held-out fold.
 
     Several labels of one id count as their mean, rounded, halves down; labels with nulls are
     left out. If one class is missing, everything gets the score of the other.
@@ -133,26 +257,22 @@ def learn(docs: DataFrame, labels: DataFrame) -> Ranking:
         .groupBy("doc_id")
         .agg((F.avg("quality") > 0.5).cast("int").alias("label"))
     )
-    counts = {r["label"]: r["count"] for r in voted.groupBy("label").count().collect()}
-    some = [
-        voted.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS) for k in (0, 1)
-    ]
-    # At most 2 * FIT_ROWS rows of two numbers.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id")
+    voted = land(voted, "quality-labels")
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+    known = land(packed(voted.select(bit.alias("bit")), "bit", F.lit(1)), "quality-map")
+    some = docs.select(F.col("doc_id").cast(voted.schema["doc_id"].dataType).alias("doc_id"), "text")
+    chosen = unpacked(some, bit, known, "hit").select("doc_id", "text")
 
     def keep(batch: pa.RecordBatch, x: np.ndarray) -> pa.RecordBatch:
-        vectors = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float32()))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), vectors], ["doc_id", "label", "x"])
-
-    kind = dict(chosen.dtypes)["doc_id"]
-    rows = with_features(chosen, f"doc_id {kind}, label int, x array<float>", keep)
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(2 * FIT_ROWS).toArrow()
-    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(-1, N_FEATURES)
-    y = rows.column("label").to_numpy()
-    total = sum(counts.values())
-    if not len(x):
-        return Ranking(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0)
-    return fit_pairs(x, y, counts.get(0, 0) / total)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "x"]
+        )
+
+    vectors = with_features(chosen, f"doc_id {dict(chosen.dtypes)['doc_id']}, x binary", keep)
+    # Always by shuffle: the vectors, not the texts, and one row per labelled id.
+    rows = land(vectors.join(voted.hint("shuffle_hash"), "doc_id").select("label", "x"), "quality-features")
+    model = fit(over_rows(rows))
+    return model or Ranking(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0)
 
 
 def rank(docs: DataFrame, model: Ranking) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from reportlens.llm import graph, jaccard, likelihood, mixing, packing, quality, recurrent, suffixes, surrogates
+from reportlens.llm import common, graph, jaccard, likelihood, mixing, packing, quality, recurrent, suffixes, surrogates
 from reportlens.llm import shingles as shingles_of
 from reportlens.llm.common import held_out, parallelism
 from reportlens.llm.queries import vocabulary
@@ -63,6 +63,53 @@ def test_threshold_is_a_quantile():
     assert abs(model.weights[0]) > 5 * abs(model.weights[1])
 
 
+def test_fit_takes_all_rows_and_pairs(spark):
+    """Blocks of rows give the fit of all rows at once, at the minimum over all pairs."""
+    draw = np.random.default_rng(3)
+    y = (draw.random(9000) > 0.1).astype(np.int32)
+    x = (draw.normal(0, 1, (9000, 3)) + y[:, None] * [0.8, -0.4, 0]).astype(np.float32)
+    blocks = spark.createDataFrame([(int(k), r.tobytes()) for k, r in zip(y, x)], "label int, x binary").repartition(7)
+    model, whole = quality.fit(quality.over_rows(blocks)), quality.fit_pairs(x, y, 1 - y.mean())
+    assert np.allclose(model.weights, whole.weights, atol=1e-6) and abs(model.threshold - whole.threshold) < 1e-6
+    raw = np.sort(((x - model.mean) / model.scale) @ model.weights)
+    n0 = int((y == 0).sum())
+    assert raw[n0 - 1] < model.threshold < raw[n0]
+    z = (x - model.mean) / model.scale
+    gaps = (z[y == 1] @ model.weights)[:, None] - (z[y == 0] @ model.weights)[None, :]
+    miss = 1 / (1 + np.exp(gaps))
+    slope = (miss.sum(1) @ z[y == 1] - miss.sum(0) @ z[y == 0]) / miss.size - 1e-3 * model.weights
+    assert np.abs(slope).max() < 1e-3
+    assert quality.fit(quality.over_rows(blocks.limit(0))) is None
+
+
+def test_packed_numbers_come_back(spark, monkeypatch):
+    """Every key gets its value, without a shuffle of the rows up to a number of words, else by any join."""
+    values = {k: k % 4 for k in [*range(200), (5 << 33) + 7, (5 << 33) + 63, 2**62 + 31]}
+    numbers = spark.createDataFrame(list(values.items()), "k long, v int")
+    rows = spark.createDataFrame([(k, "text") for k in values] * 2 + [(999, "text"), (None, "text")], "k long, t string")
+    for most in (common.PACKED, 0):
+        monkeypatch.setattr(common, "PACKED", most)
+        for bits in (1, 2):
+            kept = numbers.where("v > 0")
+            words = common.packed(kept, "k", F.col("v") if bits == 2 else F.lit(1), bits).cache()
+            got = common.unpacked(rows, F.col("k"), words, "w", bits)
+            want = [(k, "text", v if bits == 2 else 1) for k, v in values.items() if v] * 2
+            assert sorted(map(tuple, got.collect())) == sorted(want)
+            if most:
+                assert "SortMergeJoin" not in got._jdf.queryExecution().toString()
+
+
+def test_every_label_counts(spark, monkeypatch):
+    """The fit reads each labelled document outside the fold, however many there are."""
+    texts = [(k, "Plain words here." if k % 2 else "X!X #") for k in range(10_500)]
+    seen = []
+    over = quality.over_rows
+    monkeypatch.setattr(quality, "over_rows", lambda rows: seen.append(rows.count()) or over(rows))
+    monkeypatch.setattr(quality, "ROUNDS", 2)
+    quality.learn(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id long, quality int"))
+    assert seen == [sum(zlib.crc32(str(k).encode()) % 5 != 0 for k, _ in texts)]
+
+
 # --- 2: suffix arrays -------------------------------------------------------------------
 
 
