@@ -8,6 +8,9 @@ landed. Records that lie within a split are then parsed where they are; only the
 a border, at most one per split, are put together by a shuffle, which is left out, with its
 scan, if there are none.
 
+Files without any quote, which the first look at them tells, have a record per line: they are read
+without Python, and their splits' states are known.
+
 All scans must cut the files alike. Spark sizes the splits of small inputs by the number of cores,
 so cores that come or go between scans can change the cut: then a split has no state, or one of
 another length, which is an error, not a loss of rows.
@@ -193,6 +196,41 @@ def split_states(lines: DataFrame) -> DataFrame:
     )
 
 
+def plain_splits(lines: DataFrame) -> DataFrame:
+    """Per split its ``length``, ``first`` line and whether a line has a quote; no Python."""
+    return lines.groupBy(*SPLIT).agg(
+        F.max("length").alias("length"),
+        F.min("line").alias("first"),
+        F.max(F.contains("value", F.lit('"'))).alias("quoted"),
+    )
+
+
+def plain_states(splits: DataFrame) -> DataFrame:
+    """``split_states`` of files without quotes: every line is a record."""
+    return splits.select(
+        *SPLIT,
+        "length",
+        "first",
+        F.lit(0).cast("bigint").alias("head"),
+        F.lit(NOT_HERE).alias("tail"),
+        F.lit(False).alias("crossed"),
+        F.lit(None).cast("bigint").alias("begun"),
+    )
+
+
+def plain_records(placed: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The lines but the headers, which must give ``names``."""
+    header = F.rtrim(F.regexp_replace("value", "^\ufeff", ""), F.lit("\r"))
+    differs = F.concat(F.lit("CSV header "), header, F.lit(f" differs from {','.join(names)}"))
+    same = F.split(header, ",", -1) == F.array(*map(F.lit, names))
+    is_header = (F.col("split_start") == 0) & (F.col("line") == F.col("first"))
+    keep = F.when(~is_header, F.lit(True)).otherwise(
+        F.when(same, F.lit(False)).otherwise(F.raise_error(differs).cast("boolean"))
+    )
+    line = (F.col("line") - F.col("first")).alias("line")
+    return placed.where(keep).select(*SPLIT, line, F.col("value").alias("record"))
+
+
 def crossing_records(placed: DataFrame) -> DataFrame:
     """The records that lie in several splits. A record is known by the split it starts in."""
     line, head, tail = F.col("line"), F.col("head"), F.col("tail")
@@ -223,7 +261,7 @@ def quoted_records(
     """The header's names, and one row per record: its raw text and where it begins.
 
     ``file`` is the hash of the path, ``split_start`` the split's first byte, ``line`` the line
-    within the split. Runs the first scan at once.
+    within the split. Runs the first scans at once.
     """
     paths = list(paths)
     scratch = scratch_path(spark, "csv-states")
@@ -236,7 +274,12 @@ def quoted_records(
         F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("line"),
         F.make_valid_utf8("value").alias("value"),
     )
-    found = split_states(lines)
+    found = plain_splits(lines)
+    found.write.parquet(f"{scratch}/plain")
+    splits = spark.read.schema(found.schema).parquet(f"{scratch}/plain")
+    plain = not splits.where("quoted").limit(1).count()
+    found = plain_states(splits) if plain else split_states(lines)
+    scratch = f"{scratch}/states"
     found.write.parquet(scratch)
     states = spark.read.schema(found.schema).parquet(scratch).withColumnRenamed("length", "known_length")
     known = states.agg(F.count("*"), F.sum(F.col("crossed").cast("int"))).first()
@@ -250,12 +293,15 @@ def quoted_records(
         *SPLIT, "line", "value", *checked, F.when(same_cut, F.col("crossed")).otherwise(lost == 0).alias("crossed"), "begun"
     )
     line, head, tail = F.col("line"), F.col("head"), F.col("tail")
-    whole = (
-        placed.where((line >= head) & (line < tail))
-        .select(*SPLIT, (line - F.col("first")).alias("line"), "value")
-        .mapInArrow(partial(whole_records, names=header), LOCATED)
-    )
-    records = whole.unionByName(crossing_records(placed)) if known[1] else whole
+    if plain:
+        records = plain_records(placed, header)
+    else:
+        whole = (
+            placed.where((line >= head) & (line < tail))
+            .select(*SPLIT, (line - F.col("first")).alias("line"), "value")
+            .mapInArrow(partial(whole_records, names=header), LOCATED)
+        )
+        records = whole.unionByName(crossing_records(placed)) if known[1] else whole
     record = F.col("record")
     record = F.when(record.endswith("\r"), F.rtrim(record, F.lit("\r"))).otherwise(record)
     return header, records.withColumn("record", record).where(F.trim("record") != "")
