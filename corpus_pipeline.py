@@ -1,7 +1,8 @@
 """Curation of a training corpus: quality, near copies, personal data, mixture, packing.
 
 Every stage works on all that its predecessor kept. All but the last return the columns of the
-documents they were given.
+documents they were given. Texts pass through Python in batches of a bounded number of rows; as
+results are computed after a stage returns, the session keeps that setting.
 """
 
 from __future__ import annotations
@@ -10,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlens.llm import jaccard, mixing, quality, surrogates
-from reportlens.llm.common import land, packed, unpacked
+from reportlens.llm.common import bound_batches, land, packed, unpacked
 from reportlens.llm.packing import pack
 from reportlens.llm.queries import table, vocabulary
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents below the threshold go. It learns from the labels of these documents."""
+    bound_batches(spark)
     return quality.kept(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
@@ -47,6 +49,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: surrogates in the texts; ``n_chars`` follows where a length changed."""
+    bound_batches(spark)
     done = surrogates.distinct_surrogates(docs)
     return done.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")) if "n_chars" in docs.columns else done
 

@@ -7,6 +7,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 import pyarrow as pa
@@ -88,6 +89,29 @@ def unpacked(df: DataFrame, key: Column, words: DataFrame, name: str, bits: int
     return found.withColumn(name, value.cast("int")).where(F.col(name) > 0).drop("__word", "__bits")
 
 
+#: Rows of an Arrow batch that holds whole texts or sets.
+ARROW_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> str:
+    """From now on the session's Arrow batches have up to ``ARROW_ROWS`` rows; the setting until now."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= ARROW_ROWS:  # 0 and less: no bound
+        spark.conf.set(key, str(ARROW_ROWS))
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """``bound_batches`` for what runs inside."""
+    before = bound_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import land
+from .common import frugal, land, small_batches
 
 CAPACITY = 2048
 #: Fixed value: how byte-level tokenizers cut a text before merging.
@@ -50,24 +51,30 @@ class Tokens:
 
     The ids are those of ``tokenizers`` itself. The same merges run several times as fast in
     ``tiktoken``, which takes most texts; texts with a special token or with an enormous run
-    without a break go to ``tokenizers``.
+    without a break go to ``tokenizers``, which is loaded when the first of them comes.
     """
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
+        self.path, exact = path, Tokenizer.from_file(path)
         alphabet = byte_alphabet()
-        special = {x.content for x in self.exact.get_added_tokens_decoder().values()}
+        special = {x.content for x in exact.get_added_tokens_decoder().values()}
         ranks = {
             bytes(map(alphabet.__getitem__, word)): rank
-            for word, rank in self.exact.get_vocab().items()
+            for word, rank in exact.get_vocab().items()
             if word not in special
         }
         self.special = [x for x in special if x]
         self.fast = tiktoken.Encoding(path, pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def exact(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def encode(self, text: str) -> np.ndarray:
         if any(x in text for x in self.special) or (len(text) > LONG_RUN and RUN.search(text)):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -100,7 +107,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
                 ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(pieces), PIECES)
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -190,7 +197,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     are packed each for itself; an empty table gives no row. Which of several pieces of equal
     length gets which slot follows the order of tasks and rows.
     """
-    pieces = land(tokenized(docs, tokenizer_path, capacity), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = land(tokenized(docs, tokenizer_path, capacity), "pieces")
     by_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for row in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # capacity rows at most
@@ -217,5 +225,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     return (
         pieces.join(offsets, ["task", "length"])
         .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
-        .mapInArrow(place, PLACED)
+        .mapInArrow(frugal(place), PLACED)
     )

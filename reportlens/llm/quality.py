@@ -241,7 +241,7 @@ def with_features(docs: DataFrame, columns: str, finish) -> DataFrame:
                 rows = [features(t.as_py() or "", table) for t in batch.column("text")]
                 yield finish(batch, np.stack(rows))
 
-    return docs.mapInArrow(run, columns)
+    return docs.mapInArrow(frugal(run), columns)
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Ranking:

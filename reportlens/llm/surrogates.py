@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import land
+from .common import frugal, land
 
 KEY = b"reportlens surrogates"
 ROUNDS = 6
@@ -348,7 +348,7 @@ def with_surrogates(
                 out = out.drop_columns([draws_col])
             yield out.append_column(count_col, pa.array(counts, pa.int64())) if count_col else out
 
-    return docs.mapInArrow(run, f"{kinds}, `{count_col}` long" if count_col else kinds)
+    return docs.mapInArrow(frugal(run), f"{kinds}, `{count_col}` long" if count_col else kinds)
 
 
 def all_entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -367,7 +367,7 @@ def all_entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
             names = ["kind", "original", "surrogate"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names)
 
-    return docs.select(text_col).mapInArrow(run, "kind string, original string, surrogate string").distinct()
+    return docs.select(text_col).mapInArrow(frugal(run), "kind string, original string, surrogate string").distinct()
 
 
 def collisions(found: DataFrame) -> DataFrame:
@@ -402,7 +402,7 @@ def redrawn(found: DataFrame) -> DataFrame | None:
         if wrong.isEmpty():
             return land(table.where("draws > 1").select("kind", "original", "draws"), "draws")
         fine = placed.where("fine").select(wrong.columns)
-        table = land(fine.unionByName(wrong.mapInArrow(again, wrong.schema)), "entities")
+        table = land(fine.unionByName(wrong.mapInArrow(frugal(again), wrong.schema)), "entities")
     raise RuntimeError(f"entities share a surrogate after {DRAWS} draws")
 
 
@@ -425,7 +425,7 @@ def distinct_surrogates(docs: DataFrame, text_col: str = "text", count_col: str
             columns = [pa.array(row, pa.int64()), pa.array(kind, pa.string()), pa.array(original, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["__row", "kind", "original"])
 
-    held = numbered.select("__row", text_col).mapInArrow(run, "__row long, kind string, original string")
+    held = numbered.select("__row", text_col).mapInArrow(frugal(run), "__row long, kind string, original string")
     per_row = (
         held.join(draws, ["kind", "original"])
         .groupBy("__row")

@@ -238,6 +238,21 @@ def test_jaccard_chains_and_crowds(spark, monkeypatch, rounds, firsts):
     assert by_row(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(rows), key=str)
 
 
+def test_packing_in_small_batches(spark, monkeypatch):
+    """Texts reach the tokenizer in batches of few rows, and the session's setting comes back."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def watched(df, label, land=packing.land):
+        seen.append(int(spark.conf.get(key)))
+        return land(df, label)
+
+    monkeypatch.setattr(packing, "land", watched)
+    before = spark.conf.get(key)
+    packing.pack(spark.createDataFrame([(1, "a text")], "doc_id long, text string"), vocabulary()).collect()
+    assert 0 < max(seen) <= 1000 < int(before) == int(spark.conf.get(key))
+    assert "exact" not in vars(packing.Tokens(vocabulary()))
+
+
 def test_long_texts_in_word_segments(edge_rows, monkeypatch):
     """However short the segments of a long text, its set and its tokens stay the same."""
     column = pa.array([r[1] for r in edge_rows])

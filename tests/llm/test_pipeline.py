@@ -151,3 +151,24 @@ def test_run_is_all_stages_in_order(spark, folder):
 def test_stages_of_nothing(spark, folder, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_workers_give_memory_back(spark, docs, folder, monkeypatch):
+    """All that the stages run on texts in Python frees its memory at a task's end, and gets few rows at a time."""
+    used, kind, key = [], type(docs), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def watched(df, run, *args, f=kind.mapInArrow, **more):
+        used.append(run)
+        return f(df, run, *args, **more)
+
+    monkeypatch.setattr(kind, "mapInArrow", watched)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.set(key, before)
+            stage(spark, docs, folder)
+            if name in ("quality_classifier", "pii"):
+                assert int(spark.conf.get(key)) <= 1000
+    finally:
+        spark.conf.set(key, before)
+    assert used and all(hasattr(run, "__wrapped__") for run in used)
