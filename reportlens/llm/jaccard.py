@@ -11,11 +11,15 @@ Two documents link when 100 * |intersection| >= 75 * |union| of their shingle se
    have in common, and are verified on the full sets.
 
 A list with m members is not turned into m * m pairs. First every member is paired with one
-leader of its list, which joins copies into components; this is repeated with other leaders.
+leader of its list, which joins copies into components; this is repeated with other leaders. A
+leader has met its whole list and leaves it, so a list of two is done after one round.
 Then only pairs from different components that still share a list remain to be verified, so
-all links between components are found and components are exact. Such a pair is formed once, in
-the first list that both have, where the filter by places is sharpest, if that is among the first
-``FIRSTS`` lists of both; else in every list that they share.
+all links between components are found and components are exact. In lists of up to ``LIGHT``
+members such a pair is formed once, in the first list that both have, where the filter by places
+is sharpest, if that is among the first ``FIRSTS`` lists of both; else in every list that they
+share. Larger lists are cut into blocks of up to about ``BLOCK`` members, and a task counts what
+the full sets of two blocks have in common. It returns no more links than join its components,
+so no row is made per pair.
 
 What is broadcast has fixed bounds: ``FREQUENT`` shingles and a bit map of ``MAP_BITS`` bits
 that spares most sets that no pair needs from being shuffled. A list known to be very frequent is
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, land, parallelism
+from .common import frugal, land, parallelism, small_batches
 from .graph import merged
 from .shingles import batch_sets, mixed
 
@@ -47,8 +51,12 @@ PART = 100_000
 LEADER_ROUNDS = 3
 #: Lists of a class that tell whether another list is the first that a pair shares.
 FIRSTS = 8
-#: Rows of an Arrow batch; a row of a pair holds two whole sets.
-ARROW_ROWS = 1000
+#: Members of a list whose pairs become rows in the last step.
+LIGHT = 32
+#: Members of a block of a larger list, its shingles, and the shingles that a task compares at once.
+BLOCK = 512
+BLOCK_SHINGLES = 1 << 18
+COLUMNS = 1 << 11
 
 SURVEYED = "kind int, doc_id long, k long, k2 long, n long, bucket int, data binary"
 
@@ -216,7 +224,10 @@ def postings(docs: DataFrame, known, buckets: int) -> DataFrame:
 
 
 def live_lists(table: pa.Table) -> pa.Table:
-    """Rows (0, shingle, group, size, place) of lists with several groups, (1, group, class, size, 0)."""
+    """Rows (0, shingle, group, size, place) of lists with several groups, (1, group, class, size, 0).
+
+    Places are doubled as in ``postings``; rows with an odd one can occur in several buckets.
+    """
     parts: list[list[np.ndarray]] = [[], [], [], [], []]
     for n, m, data in zip(*(table.column(x).to_pylist() for x in ("n", "members", "data"))):
         at = 0
@@ -240,7 +251,7 @@ def live_lists(table: pa.Table) -> pa.Table:
         "a": pa.array(np.concatenate([as_long(x[live]), homes[:, 0]])),
         "b": pa.array(np.concatenate([group[live], homes[:, 1]])),
         "n": pa.array(np.concatenate([n[live].astype(np.int64), homes[:, 2]])),
-        "place": pa.array(np.concatenate([(tag[live] // 2).astype(np.int64), nothing])),
+        "place": pa.array(np.concatenate([tag[live].astype(np.int64), nothing])),
     })
 
 
@@ -378,11 +389,11 @@ def class_components(docs: DataFrame, lists: DataFrame, shared: DataFrame) -> Da
     tested: DataFrame | None = None
     labels: DataFrame | None = None
 
-    def labelled() -> DataFrame:
+    def labelled(rows: DataFrame) -> DataFrame:
         """Members of lists with the label ``c`` of their component."""
         if labels is None:
-            return lists.withColumn("c", F.col("k"))
-        marked = lists.join(labels, lists["k"] == labels["node"], "left")
+            return rows.withColumn("c", F.col("k"))
+        marked = rows.join(labels, rows["k"] == labels["node"], "left")
         return land(marked.select("h", "k", "n", "rest", F.coalesce("label", "k").alias("c")), "marked")
 
     def test(pairs: DataFrame) -> None:
@@ -398,46 +409,162 @@ def class_components(docs: DataFrame, lists: DataFrame, shared: DataFrame) -> Da
         if links.limit(1).count():
             labels = merged(labels, links)
 
+    rows = lists
     for round_no in range(LEADER_ROUNDS + 1):
-        marked = labelled()
+        marked = labelled(rows)
         open_lists = marked.groupBy("h").agg(
             F.min("c").alias("low"),
             F.max("c").alias("high"),
+            F.count("*").alias("members"),
             F.min_by(F.struct("k", "n", "rest", "c"), F.xxhash64(F.lit(round_no), "c", "k")).alias("leader"),
         )
-        open_lists = land(open_lists.where("low < high").select("h", "leader"), "open")
+        open_lists = land(open_lists.where("low < high").select("h", "members", "leader"), "open")
         if not open_lists.limit(1).count():
             break
-        if round_no < LEADER_ROUNDS:
-            led = marked.join(open_lists, "h").where(F.col("c") != F.col("leader.c"))
-            led = led.where(may_link("n", "rest", "leader.n", "leader.rest"))
-            test(paired(led.select("k", F.col("leader.k").alias("other"))))
-            continue
-        # Whatever components still share a list: all pairs between them that can link.
-        still = marked.join(open_lists.select("h"), "h", "left_semi")
-        still = land(still.join(first_lists(lists, still, shared), "k"), "still")
-        by_component = still.groupBy("h", "c").agg(
-            F.min("n").alias("n"), F.max("rest").alias("rest"), F.count("*").alias("members")
-        )
-        by_component = land(by_component, "by-component")
-        other = by_component.select(
-            "h", F.col("c").alias("d"), F.col("n").alias("m"), F.col("rest").alias("other_rest"), F.col("members").alias("others")
-        )
-        # The component with fewer members in the list, c, is expanded first.
-        fewer = F.struct("members", "c") < F.struct(F.col("others").alias("members"), F.col("d").alias("c"))
-        meeting = by_component.join(other, "h").where(fewer & may_link("n", "rest", "m", "other_rest"))
-        meeting = meeting.select("h", "c", "d", "m", "other_rest")
-        first = still.select("h", "c", "k", "n", "rest", "g", "firsts")
-        second = still.select(
-            "h", F.col("c").alias("d"), F.col("k").alias("other"), F.col("n").alias("m"), F.col("rest").alias("other_rest"),
-            F.col("g").alias("other_g"), F.col("firsts").alias("other_firsts"),
-        )
-        expanded = meeting.join(first, ["h", "c"]).where(may_link("n", "rest", "m", "other_rest")).drop("m", "other_rest")
-        expanded = expanded.join(second, ["h", "d"])
-        test(paired(expanded.where(may_link("n", "rest", "m", "other_rest") & meets_here())))
+        if round_no == LEADER_ROUNDS:
+            still = land(marked.join(open_lists.select("h", "members"), "h"), "still")
+            links = links_by_blocks(docs, still.where(F.col("members") > LIGHT).drop("members"))
+            if links is not None:
+                labels = merged(labels, links)
+            test(pairs_of_lists(still.where(F.col("members") <= LIGHT).drop("members"), lists, shared))
+            break
+        asks = (F.col("c") != F.col("leader.c")) & may_link("n", "rest", "leader.n", "leader.rest")
+        stays = (F.col("members") > 2) & (F.col("k") != F.col("leader.k"))
+        led = marked.join(open_lists, "h").where(asks | stays)
+        led = led.select("h", "k", "n", "rest", F.when(asks, F.col("leader.k")).alias("other"), stays.alias("stays"))
+        led = land(led, "led")
+        test(paired(led.where("other is not null")))
+        rows = led.where("stays").select("h", "k", "n", "rest")
     return labels
 
 
+def pairs_of_lists(still: DataFrame, lists: DataFrame, shared: DataFrame) -> DataFrame:
+    """``a`` and ``b`` of all pairs between components ``c`` of a list of ``still(h, k, n, rest, c)`` that can link."""
+    still = land(still.join(first_lists(lists, still, shared), "k"), "still")
+    by_component = still.groupBy("h", "c").agg(
+        F.min("n").alias("n"), F.max("rest").alias("rest"), F.count("*").alias("members")
+    )
+    by_component = land(by_component, "by-component")
+    other = by_component.select(
+        "h", F.col("c").alias("d"), F.col("n").alias("m"), F.col("rest").alias("other_rest"), F.col("members").alias("others")
+    )
+    # The component with fewer members in the list, c, is expanded first.
+    fewer = F.struct("members", "c") < F.struct(F.col("others").alias("members"), F.col("d").alias("c"))
+    meeting = by_component.join(other, "h").where(fewer & may_link("n", "rest", "m", "other_rest"))
+    meeting = meeting.select("h", "c", "d", "m", "other_rest")
+    first = still.select("h", "c", "k", "n", "rest", "g", "firsts")
+    second = still.select(
+        "h", F.col("c").alias("d"), F.col("k").alias("other"), F.col("n").alias("m"), F.col("rest").alias("other_rest"),
+        F.col("g").alias("other_g"), F.col("firsts").alias("other_firsts"),
+    )
+    expanded = meeting.join(first, ["h", "c"]).where(may_link("n", "rest", "m", "other_rest")).drop("m", "other_rest")
+    expanded = expanded.join(second, ["h", "d"])
+    return paired(expanded.where(may_link("n", "rest", "m", "other_rest") & meets_here()))
+
+
+def in_blocks(heavy: DataFrame) -> DataFrame:
+    """``heavy(h, k, n, rest, c)`` once per pair of blocks (``low``, ``high``) that its own, ``part``, is in.
+
+    The largest component of a list has blocks of its own, which don't meet each other. Members
+    that can't link with the smallest set of their list are left out.
+    """
+    by_component = heavy.groupBy("h", "c").agg(
+        F.count("*").alias("members"), F.sum("n").alias("shingles"), F.min("n").alias("least"), F.max("rest").alias("most")
+    )
+    parts = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    by_list = by_component.groupBy("h").agg(
+        F.max_by("c", F.struct("members", "c")).alias("main"),
+        F.max(F.struct("members", "c", "shingles")).alias("own"),
+        (F.sum("members") - F.max("members")).alias("members"),
+        F.sum("shingles").alias("all"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+    )
+    by_list = by_list.withColumn("shingles", F.col("all") - F.col("own.shingles")).withColumn("others", parts)
+    by_list = by_list.select(
+        "h", "main", "least", "most", "others",
+        F.greatest(F.ceil(F.col("own.members") / BLOCK), F.ceil(F.col("own.shingles") / BLOCK_SHINGLES)).alias("mains"),
+    )
+    least = needed(F.col("n"), F.col("least"))
+    rows = heavy.join(by_list, "h").where((F.col("rest") >= least) & (F.col("most") >= least))
+    spread = F.xxhash64("k")
+    part = F.when(F.col("c") == F.col("main"), F.col("others") + F.pmod(spread, F.col("mains"))).otherwise(
+        F.pmod(spread, F.col("others"))
+    )
+    rows = rows.withColumn("part", part)
+    last = F.when(F.col("part") < F.col("others"), F.col("others") + F.col("mains")).otherwise(F.col("others"))
+    rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), last - 1)))
+    low, high = F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high")
+    return rows.select("h", low, high, "part", "k", "n", "rest", "c")
+
+
+def in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(x, y)
+    total = np.zeros((len(left), len(right)), dtype=np.int64)
+    sides = []
+    for values, sets in ((x, left), (y, right)):
+        at = np.minimum(np.searchsorted(both, values), max(len(both) - 1, 0))
+        hit = np.flatnonzero(both[at] == values) if len(both) else np.zeros(0, np.int64)
+        of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = hit[np.argsort(at[hit], kind="stable")]
+        sides.append((at[order], of[order], len(sets)))
+    for begin in range(0, len(both), COLUMNS):
+        dense = []
+        for at, of, n in sides:
+            a, b = np.searchsorted(at, [begin, begin + COLUMNS])
+            dense.append(np.zeros((n, COLUMNS), dtype=np.float32))
+            dense[-1][of[a:b], at[a:b] - begin] = 1
+        total += (dense[0] @ dense[1].T).astype(np.int64)
+    return total
+
+
+def joining(table: pa.Table) -> pa.Table:
+    """Links ``a`` and ``b`` between two blocks, as many as join the components that have any."""
+    part, k, n, rest, c = (table.column(x).to_numpy() for x in ("part", "k", "n", "rest", "c"))
+    data = table.column("data").combine_chunks()
+    left = np.flatnonzero(part == table.column("low")[0].as_py())
+    right = np.flatnonzero(part == table.column("high")[0].as_py())
+
+    def open_pairs() -> np.ndarray:
+        least = -(-PERCENT * (n[left][:, None] + n[right][None]) // (100 + PERCENT))
+        fits = (rest[left][:, None] >= least) & (rest[right][None] >= least)
+        return fits & (c[left][:, None] != c[right][None])
+
+    found: list[tuple[int, int]] = []
+    may = open_pairs()
+    left, right = left[may.any(axis=1)], right[may.any(axis=0)]
+    if len(left):
+        left_sets, right_sets = ([np.frombuffer(data[int(i)].as_buffer(), np.uint64) for i in side] for side in (left, right))
+        common = in_common(left_sets, right_sets)
+        links = open_pairs() & (100 * common >= PERCENT * (n[left][:, None] + n[right][None] - common))
+        above: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in above:
+                above[x] = x = above.get(above[x], above[x])
+            return x
+
+        for i, j in zip(*(side[at].tolist() for side, at in zip((left, right), np.nonzero(links)))):
+            one, two = top(int(c[i])), top(int(c[j]))
+            if one != two:
+                above[one] = two
+                found.append((min(int(k[i]), int(k[j])), max(int(k[i]), int(k[j]))))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def links_by_blocks(docs: DataFrame, heavy: DataFrame) -> DataFrame | None:
+    """``a`` and ``b`` of links that join all components of a list of ``heavy(h, k, n, rest, c)`` that link."""
+    blocks = land(in_blocks(heavy), "blocks")
+    if not blocks.limit(1).count():
+        return None
+    sets = needed_sets(docs, blocks.select("k").distinct())
+    links = blocks.join(sets, "k").groupBy("h", "low", "high").applyInArrow(joining, "a long, b long")
+    return land(links.distinct(), "block-links")
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): doc_id, n_shingles, component_id.
 
@@ -450,14 +577,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Sets are compared by 64-bit hashes of shingles; two unequal sets with one class key would
     raise an error.
     """
-    conf, rows_key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(rows_key)
     # Sets of long texts are large; everything that runs in Python runs before this returns.
-    conf.set(rows_key, str(min(ARROW_ROWS, int(before))))
-    try:
+    with small_batches(docs.sparkSession):
         return joined_copies(docs)
-    finally:
-        conf.set(rows_key, before)
 
 
 def joined_copies(docs: DataFrame) -> DataFrame:
@@ -472,12 +594,14 @@ def joined_copies(docs: DataFrame) -> DataFrame:
         "lists",
     )
     known.unpersist()
-    members = lists.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("k"), "n").distinct()
+    members = lists.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("k"), "n")
     members = land(members, "members")
     several = members.groupBy("g").agg(F.count("*").alias("size")).where("size > 1").select("g")
-    of_groups = lists.where("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("g"), "place").distinct()
-    expanded = of_groups.join(members, "g").select("h", "k", "n", (F.col("n") - F.col("place")).alias("rest"), "g")
-    expanded = land(expanded, "expanded")
+    of_groups = lists.where("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("g"), "place")
+    dealt = F.col("place") % 2 == 1
+    of_groups = of_groups.where(~dealt).unionByName(of_groups.where(dealt).distinct())
+    place = F.shiftright("place", 1)
+    expanded = of_groups.join(members, "g").select("h", "k", "n", (F.col("n") - place).alias("rest"), "g")
     # A group's members have their whole prefix in common.
     alike = members.join(land(several, "several"), "g", "left_semi")
     within = alike.select(F.col("g").alias("h"), "k", "n", F.col("n").alias("rest"), "g")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -238,6 +239,59 @@ def test_jaccard_chains_and_crowds(spark, monkeypatch, rounds, firsts):
     assert by_row(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(rows), key=str)
 
 
+@pytest.mark.parametrize("light, block, columns", [(32, 512, 2048), (3, 7, 5)])
+def test_jaccard_crowd_of_near_misses(spark, monkeypatch, light, block, columns):
+    """Many texts that share most words and don't link: no row per pair, and no link is lost among them."""
+    for name, value in (("LIGHT", light), ("BLOCK", block), ("COLUMNS", columns)):
+        monkeypatch.setattr(jaccard, name, value)
+    formed = []
+
+    def counted(df, label, land=jaccard.land):
+        out = land(df, label)
+        formed.append(out.count() if label in ("pairs", "blocks") else 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "land", counted)
+    base, draw, texts = [f"w{k}" for k in range(150)], random.Random(9), []
+    for k in range(80):
+        words = list(base)
+        for place in draw.sample(range(5, 145), 3):
+            words[place] = f"new{k}x{place}"
+        texts.append(" ".join(words))
+        if k % 8 == 0:
+            words[2] = f"also{k}"
+            texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    got = jaccard.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = brute_components(rows)
+    assert 10 < len({c for _, _, c in want}) < 85
+    assert by_row(got, "doc_id", "n_shingles", "component_id") == sorted(want, key=str)
+    if block > len(rows):  # each member of a list in one block
+        assert sum(formed) < len(rows) ** 2 / 3
+
+
+@pytest.mark.parametrize("members", [(5, 4), (1, 9)])
+def test_jaccard_blocks_join_all_components(spark, members):
+    """Links of two blocks join the same components as all links; pairs that an earlier place rules out don't."""
+    sets = [np.arange(k, k + 40, dtype=np.uint64) for k in range(sum(members))]
+    common = jaccard.in_common(sets, sets[::-1])
+    assert common.tolist() == [[40 - abs(i - j) for j in range(len(sets))[::-1]] for i in range(len(sets))]
+    table = pa.table({
+        "h": [1] * len(sets), "low": [0] * len(sets), "high": [1] * len(sets),
+        "part": [0] * members[0] + [1] * members[1], "k": list(range(len(sets))), "n": [40] * len(sets),
+        "rest": [40] * (len(sets) - 1) + [30], "c": list(range(len(sets))), "data": [s.tobytes() for s in sets],
+    })
+    links = jaccard.joining(table).to_pylist()
+    reach = {members[0] - 1}
+    for _ in sets:
+        reach |= {x for r in links for x in r.values() if reach & set(r.values())}
+    near = [(i, j) for i in range(members[0]) for j in range(members[0], len(sets) - 1) if j - i <= 5]
+    want = {members[0] - 1}
+    for _ in sets:
+        want |= {x for pair in near for x in pair if want & set(pair)}
+    assert reach == want and len(links) == len(want) - 1
+
+
 def test_packing_in_small_batches(spark, monkeypatch):
     """Texts reach the tokenizer in batches of few rows, and the session's setting comes back."""
     key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
